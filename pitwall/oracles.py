@@ -26,6 +26,23 @@ def _lap(p: str, ok: str, line: int) -> str:
     return f"CASE WHEN {p} IS NULL THEN NULL ELSE {txt} END"
 
 
+def timedelta_sql(x: str) -> str:
+    ms = f"CAST(floor({x} * 1000) AS BIGINT)"
+    def part(div, mod=None):
+        inner = f"({ms} % {mod})" if mod else ms
+        return f"lpad(CAST(CAST(floor({inner} / {div}.0) AS BIGINT) AS VARCHAR), 2, '0')"
+    return (f"CAST(CAST(floor({ms} / 86400000.0) AS BIGINT) AS VARCHAR) || ' days ' || "
+            f"{part(3600000, 86400000)} || ':' || {part(60000, 3600000)} || ':' || {part(1000, 60000)}"
+            f" || '.' || lpad(CAST(({ms} % 1000) * 1000 AS VARCHAR), 6, '0')")
+
+
+def timedelta_parse_sql(x: str) -> str:
+    r = "'^\\s*(-?\\d+) days?\\s*\\+?(\\d+):(\\d+):(\\d+(?:\\.\\d+)?)\\s*$'"
+    g = [f"CAST(regexp_extract({x}, {r}, {i}) AS DOUBLE)" for i in (1, 2, 3, 4)]
+    return (f"(CASE WHEN regexp_matches({x}, {r}) THEN "
+            f"{g[0]} * 86400.0 + {g[1]} * 3600.0 + {g[2]} * 60.0 + {g[3]} END)")
+
+
 def rig_ctes(grain: str = "nation") -> str:
     """CTEs ``ord, ent, wx, rig`` — the raw race-entry table (``rig``)."""
     driver = "c.c_nationkey" if grain == "nation" else "o.o_custkey"
@@ -38,7 +55,7 @@ ord AS (
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 ent AS (
   SELECT Season, Round, DriverNumber, c_nationkey AS team_key,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1000.0 AS FinishTime_s,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 997.0 AS FinishTime_s,
          MIN(o_orderkey) AS first_order, COUNT(*) AS Laps
   FROM ord GROUP BY Season, Round, DriverNumber, c_nationkey),
 lq AS (
@@ -73,7 +90,7 @@ rig AS (
          CASE WHEN fo.o_orderstatus = 'F' THEN 'Finished'
               WHEN fo.o_orderstatus = 'P' THEN 'Lapped'
               WHEN e.first_order % 2 = 1 THEN 'Retired' END AS Status,
-         e.FinishTime_s, e.first_order, e.Laps,
+         e.FinishTime_s, {timedelta_sql('e.FinishTime_s')} AS Time, e.first_order, e.Laps,
          row_number() OVER (PARTITION BY e.Season, e.Round ORDER BY e.FinishTime_s, e.DriverNumber) AS Position,
          row_number() OVER (PARTITION BY e.Season, e.Round ORDER BY e.first_order, e.DriverNumber) AS GridPosition,
          {_lap('lq.p1', 'e.first_order', 1)} AS Q1,
@@ -127,7 +144,8 @@ def features_ctes(grain: str = "nation") -> str:
     """CTEs through ``feat`` — the race feature table."""
     return "WITH " + rig_ctes(grain) + f""",
 f1 AS (
-  SELECT * REPLACE ({p2_sql('Driver')} AS Driver),
+  SELECT * REPLACE ({p2_sql('Driver')} AS Driver), Driver AS DriverRaw,
+         {timedelta_parse_sql('Time')} AS ParsedTime_s,
          {p3_sql('Q1', 'Q2', 'Q3')} AS AvgQualiTime,
          CAST(Round AS DOUBLE) - 1.0 AS races_prior_this_season,
          COALESCE(SUM(Points) OVER (PARTITION BY Season, DriverId ORDER BY Round, DriverNumber
@@ -146,5 +164,5 @@ feat AS (
               ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS DeviationFromAvg_s_last5,
          AVG(DeviationFromAvg_s) OVER (PARTITION BY DriverId, Season ORDER BY Round, DriverNumber
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DeviationFromAvg_s_season_to_date,
-         {rain_sql('Rain')} AS Rain
+         {rain_sql('Rain')} AS Rain, Rain AS RainRaw
   FROM f1)"""

@@ -15,7 +15,8 @@ from pitwall.sources.rig import race_entries
 def add_quali_features(df: DataFrame) -> DataFrame:
     """P2 name cleaning + P3 average qualifying time (90.0 when Q columns are absent)."""
     if "Driver" in df.columns:
-        df = df.withColumn("Driver", S.clean_driver_name("Driver"))
+        df = df.withColumn("DriverRaw", F.col("Driver")).withColumn(
+            "Driver", S.clean_driver_name("Driver"))
     if all(q in df.columns for q in ("Q1", "Q2", "Q3")):
         return df.withColumn("AvgQualiTime", S.avg_quali_time("Q1", "Q2", "Q3"))
     return df.withColumn("AvgQualiTime", F.lit(K.DEFAULT_AVG_QUALI_TIME))
@@ -41,12 +42,26 @@ def race_features(entries: DataFrame) -> DataFrame:
     df = W.points_prop(df)
     df = W.race_targets(df)
     df = W.prior_form(df)
-    return df.withColumn("Rain", S.normalize_rain("Rain"))
+    if "Time" in df.columns:
+        df = df.withColumn("ParsedTime_s", S.timedelta_to_seconds("Time"))
+    return df.withColumn("RainRaw", F.col("Rain")).withColumn("Rain", S.normalize_rain("Rain"))
+
+
+_TABLES: dict = {}
 
 
 def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
                materialize: bool = True) -> DataFrame:
     """The feature table; checkpointed (lineage cut) because every job reads
-    it more than once (train/val/test splits, folds, restarts)."""
-    feat = race_features(race_entries(spark, sf_dir, grain))
-    return cut_lineage(feat) if materialize else feat
+    it more than once (train/val/test splits, folds, restarts).  Within one
+    Spark application the materialised table is reused, like a written table."""
+    if not materialize:
+        return race_features(race_entries(spark, sf_dir, grain))
+    memo = (spark.sparkContext.applicationId, sf_dir, grain)
+    if memo not in _TABLES:
+        _TABLES[memo] = cut_lineage(race_features(race_entries(spark, sf_dir, grain)))
+    return _TABLES[memo]
+
+
+def clear_table_cache() -> None:
+    _TABLES.clear()

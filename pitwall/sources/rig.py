@@ -54,6 +54,19 @@ def _lap_text(price_col, orderkey_col, line: int):
     return F.when(price_col.isNotNull(), txt)
 
 
+def timedelta_text(seconds_col):
+    """Seconds -> pandas-style ``'0 days 01:32:10.510000'`` text (ms precision)."""
+    ms = F.floor(seconds_col * 1000).cast("bigint")
+    d = F.floor(ms / 86400000.0).cast("bigint")
+    h = F.floor(F.pmod(ms, F.lit(86400000)) / 3600000.0).cast("bigint")
+    m = F.floor(F.pmod(ms, F.lit(3600000)) / 60000.0).cast("bigint")
+    sec = F.floor(F.pmod(ms, F.lit(60000)) / 1000.0).cast("bigint")
+    micro = F.pmod(ms, F.lit(1000)) * 1000
+    return F.concat(d.cast("string"), F.lit(" days "), F.lpad(h.cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad(m.cast("string"), 2, "0"), F.lit(":"), F.lpad(sec.cast("string"), 2, "0"),
+                    F.lit("."), F.lpad(micro.cast("string"), 6, "0"))
+
+
 def per_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -97,7 +110,7 @@ def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> Dat
         driver.cast("bigint").alias("DriverNumber"),
         F.col("c_nationkey").alias("team_key"),
     ).agg(
-        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 1000.0)
+        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 997.0)
         .alias("FinishTime_s"),
         F.min("o_orderkey").alias("first_order"),
         F.count(F.lit(1)).alias("Laps"),
@@ -149,7 +162,8 @@ def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> Dat
                (F.when(F.col("status_code") == "F", "Finished")
                  .when(F.col("status_code") == "P", "Lapped")
                  .when(F.pmod(F.col("first_order"), F.lit(2)) == 1, "Retired")).alias("Status"),
-               "FinishTime_s", "first_order", "Laps", "Position", "GridPosition",
+               "FinishTime_s", timedelta_text(F.col("FinishTime_s")).alias("Time"),
+               "first_order", "Laps", "Position", "GridPosition",
                *[_lap_text(F.col(f"p{i}"), F.col("first_order"), i).alias(f"Q{i}") for i in (1, 2, 3)],
                *K.WEATHER_COLUMNS, "WindDirection_deg", *K.TYRES, "Rain",
            ))
