@@ -50,6 +50,14 @@ def race_features(entries: DataFrame) -> DataFrame:
 _TABLES: dict = {}
 
 
+def features_memo(memo, build):
+    """Get-or-build a session-scoped materialised object (tables are
+    checkpointed, models fitted once per application)."""
+    if memo not in _TABLES:
+        _TABLES[memo] = build()
+    return _TABLES[memo]
+
+
 def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
                materialize: bool = True) -> DataFrame:
     """The feature table; checkpointed (lineage cut) because every job reads
