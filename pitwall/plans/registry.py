@@ -25,4 +25,4 @@ def query(key: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from pitwall.plans import q_scalars, q_relational, q_jobs, q_ml  # noqa: F401,I001
+    from pitwall.plans import q_scalars, q_relational, q_jobs, q_ml, q_io  # noqa: F401,I001
