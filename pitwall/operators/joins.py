@@ -26,9 +26,9 @@ def unique_right(right: DataFrame, key: Sequence[str]) -> DataFrame:
     makes the job fail (``raise_error``) instead of fanning out rows.  No
     driver round trip; the check runs inside the same shuffle as the join."""
     cnt = right.groupBy(*key).agg(F.count(F.lit(1)).alias("_dup"))
-    checked = right.join(cnt, list(key))
+    # the guard sits in a filter predicate so column pruning cannot drop it
     guard = F.when(F.col("_dup") > 1, F.raise_error(F.lit("duplicate join key on right side")))
-    return checked.withColumn("_dup", F.coalesce(guard.cast("bigint"), F.col("_dup"))).drop("_dup")
+    return right.join(cnt, list(key)).filter(guard.isNull()).drop("_dup")
 
 
 def fallback_join(left: DataFrame, right: DataFrame,
