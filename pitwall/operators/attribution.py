@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pitwall import constants as K
 from pitwall.operators.ranking import row_number_within
 from pitwall.operators.trees import assemble, predict
-from pitwall.session import ensure_checkpoint_dir
+from pitwall.session import cut_lineage, ensure_checkpoint_dir
 from pitwall.functions.scalars import portable_bucket
 
 
@@ -223,7 +223,9 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
                                 key=[id_col], order_source=["_h", id_col])
     donor = by_hash.select(F.col("_rh").alias("_rk"), *[F.col(f"`{c}`").alias(f"_d_{i}")
                                                          for i, c in enumerate(feats)])
-    paired = by_key.join(donor, "_rk")
+    # checkpoint: read once per feature variant below, and the short lineage
+    # keeps the (features + 1)-branch union cheap to analyse
+    paired = cut_lineage(by_key.join(donor, "_rk"))
     variants = [paired.select(*key, F.col(label), F.lit("__none__").alias("feature"),
                               *[F.col(f"`{c}`") for c in feats])]
     for i, c in enumerate(feats):

@@ -66,7 +66,7 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 # --------------------------------------------------------------------- M2
 def kmeans_best(vec_df: DataFrame, k: int, restarts: int = 20, seed: int = 42,
-                max_iter: int = 100, parallelism: int = 4, features: str = "features"):
+                max_iter: int = 100, parallelism: int = 8, features: str = "features"):
     """Fit ``restarts`` KMeans models (concurrent jobs) and keep the lowest
     training cost.  Returns ``(model, cost)``."""
     vec_df = vec_df.select(features).cache()
@@ -118,14 +118,24 @@ def cluster_centres(labelled: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES,
 
 # --------------------------------------------------------------------- M4
 def elbow(vec_df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 20,
-          seed: int = 42, features: str = "features") -> DataFrame:
+          seed: int = 42, features: str = "features", parallelism: int = 8) -> DataFrame:
+    """Inertia (best of ``restarts``) and silhouette per k; every (k, seed)
+    fit is an independent Spark job drawn from one bounded thread pool."""
     vec_df = vec_df.select(features).cache()
-    rows = []
+    jobs = [(k, seed + i) for k in ks for i in range(restarts)]
+
+    def fit(job):
+        k, s = job
+        m = KMeans(k=k, seed=s, maxIter=100, featuresCol=features).fit(vec_df)
+        return k, m.summary.trainingCost, s, m
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+        fits = list(pool.map(fit, jobs))
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="prediction")
+    rows = []
     for k in ks:
-        model, cost = kmeans_best(vec_df, k, restarts, seed, features=features)
-        sil = evaluator.evaluate(model.transform(vec_df))
-        rows.append((int(k), float(cost), float(sil)))
+        _, cost, _, model = min((f for f in fits if f[0] == k), key=lambda f: (f[1], f[2]))
+        rows.append((int(k), float(cost), float(evaluator.evaluate(model.transform(vec_df)))))
     vec_df.unpersist()
     return vec_df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double")
 

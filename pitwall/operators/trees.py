@@ -165,21 +165,33 @@ def cv_curve(vec_train: DataFrame, params: TreeParams, k: int = 5, seed: int = 4
 
 
 def random_search_cv(vec_train: DataFrame, trials: Sequence[TreeParams], k: int = 5,
-                     patience: int = 50, label: str = K.TARGET, parallelism: int = 4) -> DataFrame:
-    """K-fold CV per trial, rounds chosen by the mean test-RMSE curve."""
+                     patience: int = 50, label: str = K.TARGET, parallelism: int = 8,
+                     fold_col: str = "fold") -> DataFrame:
+    """K-fold CV per trial, rounds chosen by the mean test-RMSE
+    curve.  All (trial, fold) fits are independent jobs in one pool; a
+    failed trial yields NULL."""
     vec_train = vec_train.cache()
+    jobs = [(i, f) for i in range(len(trials)) for f in range(k)]
 
-    def run(i_p):
-        i, p = i_p
+    def run(job):
+        i, f = job
         try:
-            curve = cv_curve(vec_train, p, k, p.seed, label)
-            rounds = patience_argmin(curve, patience)
-            return (i + 1, p, float(curve[rounds - 1]), rounds)
+            m = fit_gbt(vec_train.filter(F.col(fold_col) != f), trials[i], label)
+            return i, m.evaluateEachIteration(vec_train.filter(F.col(fold_col) == f), "squared")
         except Exception:          # noqa: BLE001
-            return (i + 1, p, None, None)
-
-    with _pool(len(trials), parallelism) as pool:
-        res = list(pool.map(run, enumerate(trials)))
+            return i, None
+
+    with _pool(len(jobs), parallelism) as pool:
+        curves = list(pool.map(run, jobs))
+    res = []
+    for i, p in enumerate(trials):
+        cs = [c for j, c in curves if j == i]
+        if any(c is None for c in cs):
+            res.append((i + 1, p, None, None))
+            continue
+        curve = [(sum(c[r] for c in cs) / k) ** 0.5 for r in range(len(cs[0]))]
+        rounds = patience_argmin(curve, patience)
+        res.append((i + 1, p, float(curve[rounds - 1]), rounds))
     return _trial_frame(vec_train.sparkSession, res, "cv_rmse", "best_rounds")
 
 

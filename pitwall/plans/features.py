@@ -39,9 +39,11 @@ def race_features(entries: DataFrame) -> DataFrame:
     """Entries -> cleaned names, AvgQualiTime, Rain 0/1, PointsProp, target,
     prior form.  Every step is a column expression or a keyed window."""
     df = add_quali_features(entries)
-    df = W.points_prop(df)
     df = W.race_targets(df)
+    # Per-driver windows first: their hash partitioning on DriverId also
+    # satisfies the (Season, DriverId) windows after them -> one shuffle.
     df = W.prior_form(df)
+    df = W.points_prop(df)
     if "Time" in df.columns:
         df = df.withColumn("ParsedTime_s", S.timedelta_to_seconds("Time"))
     return df.withColumn("RainRaw", F.col("Rain")).withColumn("Rain", S.normalize_rain("Rain"))
@@ -60,9 +62,11 @@ def features_memo(memo, build):
 
 def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
                materialize: bool = True) -> DataFrame:
-    """The feature table; checkpointed (lineage cut) because every job reads
-    it more than once (train/val/test splits, folds, restarts).  Within one
-    Spark application the materialised table is reused, like a written table."""
+    """The feature table, checkpointed because every job reads it more than
+    once (train/val/test splits, folds, restarts) and because cutting the
+    lineage keeps every downstream plan small: analysing, optimising and
+    cache-matching a deep lineage dominated the ML jobs.  Within one Spark
+    application the checkpointed table is reused, like a written table."""
     if not materialize:
         return race_features(race_entries(spark, sf_dir, grain))
     memo = (spark.sparkContext.applicationId, sf_dir, grain)
@@ -72,4 +76,8 @@ def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
 
 
 def clear_table_cache() -> None:
+    for v in _TABLES.values():
+        for x in (v if isinstance(v, tuple) else (v,)):
+            if hasattr(x, "unpersist"):
+                x.unpersist()
     _TABLES.clear()

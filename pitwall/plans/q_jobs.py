@@ -19,7 +19,7 @@ TEST_SEASONS = (2000,)
 
 
 def race_prediction(feat, train_seasons=TRAIN_SEASONS, race_seasons=TEST_SEASONS,
-                    rank_method="range"):
+                    rank_method="auto"):
     """Q1 with a linear grid-position score: fit on training seasons, score
     the upcoming races, drop lapped entries, rank per race."""
     train = FL.drop_null_target(feat.filter(F.col("Season").isin(list(train_seasons))))
