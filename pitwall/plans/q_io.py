@@ -127,3 +127,22 @@ def q1_stream(spark, sf):
     qry = score_stream(spark, f"{folder}/in", src.schema, model, f"{folder}/out", f"{folder}/_ckpt")
     qry.awaitTermination()
     return round_doubles(read_scored(spark, f"{folder}/out"))
+
+
+@query("K1_partitioned_csv_sink", sql=FEAT + """
+SELECT Season, Round, DriverNumber, round(PointsProp, 6) AS PointsProp FROM feat""")
+def k1(spark, sf):
+    """Write partitioned by Season (overwrite, no index) and read back with
+    partition discovery."""
+    path = IO.write_csv(feat(spark, sf).select(*KEYS, "PointsProp"),
+                        IO.run_folder(spark, "k1") + "/entries.csv", ["Season"])
+    back = IO.read_csv(spark, path, "Round bigint, DriverNumber bigint, PointsProp double")
+    return round_doubles(back.select(F.col("Season").cast("bigint").alias("Season"), "Round", "DriverNumber",
+                                     "PointsProp"))
+
+
+@query("V1_missing_column_report")
+def v1(spark, sf):
+    """Expected minimal-input columns vs the columns the feature table has."""
+    from pitwall.operators.filters import missing_column_report
+    return missing_column_report(feat(spark, sf))

@@ -374,3 +374,19 @@ def q7(spark, sf):
     pred = TR.predict(model, TR.assemble(vi, FEATURES)).select(*KEYS, F.col(K.TARGET).alias("y_true"),
                                                                 F.col("prediction").alias("y_pred"))
     return round_doubles(local.join(pred, KEYS).join(glob, "feature", "left"))
+
+
+M11_SPACE = {
+    "step_size": (0.02, 0.05, 0.1, 0.2),
+    "max_depth": (2, 3, 4, 6),
+    "subsample": (0.6, 0.8, 1.0),
+    "col_sample": ("all", "sqrt", "0.5"),
+}
+
+
+@query("M11_random_search_3fold")
+def m11(spark, sf):
+    """Randomised search, 3-fold CV, scored by (negated) mean RMSE."""
+    trials = TR.draw_trials(3, 11, M11_SPACE)
+    res = TR.random_search_cv(_cv_vectors(spark, sf), trials, k=3, patience=50)
+    return res.withColumn("neg_rmse", -F.col("cv_rmse"))

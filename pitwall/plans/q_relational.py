@@ -697,3 +697,31 @@ cmp AS (SELECT 'uncalibrated' AS type, y_true, y_pred FROM ct UNION ALL SELECT '
 """ + _metrics_sql("cmp", "type"))
 def c3(spark, sf):
     return R(calibrated_metrics(_cal_parts(spark, sf)[1]))
+
+
+# ===================================================== more folded items
+_P10_COLS = ("AvgQualiTime", "DeviationFromAvg_s_last1", "DeviationFromAvg_s_last2", "DeltaFromAhead_s")
+
+
+@query("P10_train_median_imputation", sql=FEAT + f"""
+, med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in _P10_COLS)} FROM feat WHERE {TRAIN_SQL})
+SELECT {KEY_SQL}, {', '.join(f'round(COALESCE({c}, m_{c}, 0.0), 6) AS {c}' for c in _P10_COLS)}
+FROM feat CROSS JOIN med WHERE Season = {TEST}""")
+def p10(spark, sf):
+    from pitwall.operators.trees import impute, train_medians
+    f = feat(spark, sf)
+    med = train_medians(f.filter(F.col("Season").isin(list(TRAIN))), _P10_COLS)
+    out = impute(f.filter(F.col("Season") == TEST), med, _P10_COLS)
+    return R(out.select(*KEYS, *_P10_COLS))
+
+
+@query("A4_metrics_dropna", sql=FEAT + f""", {MODELS_SQL}, {preds_sql()},
+p4 AS (SELECT p.model, f.DeviationFromAvg_s_last1 AS y_true, p.y_pred FROM preds p
+       JOIN feat f USING (Season, Round, DriverNumber))
+SELECT model, rmse, mae, mse, r2, n FROM ({_metrics_sql('p4')})""")
+def a4(spark, sf):
+    """Metrics against a target with gaps: rows NULL in either column dropped."""
+    f = feat(spark, sf)
+    p = linear_preds(f).drop("y_true").join(
+        f.select(*KEYS, F.col("DeviationFromAvg_s_last1").alias("y_true")), KEYS)
+    return R(A.regression_metrics(p, group=["model"], dropna=True))
