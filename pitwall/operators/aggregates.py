@@ -174,7 +174,3 @@ def rare_categories(df: DataFrame, cols: Iterable[str], min_count: int) -> DataF
     return (long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
                 .filter(F.col("count") < min_count))
 
-
-def rare_map(rare_long: DataFrame) -> DataFrame:
-    """Long rare table -> ``column -> sorted array of rare values``."""
-    return rare_long.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("rare"))

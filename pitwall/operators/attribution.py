@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pitwall import constants as K
 from pitwall.operators.ranking import row_number_within
 from pitwall.operators.trees import assemble, predict
-from pitwall.session import cut_lineage, ensure_checkpoint_dir
+from pitwall.session import cut_lineage, ensure_checkpoint_dir, ensure_python_package
 from pitwall.functions.scalars import portable_bucket
 
 
@@ -167,6 +167,7 @@ def contributions(model, df: DataFrame, features: Sequence[str], key: Sequence[s
     ``df`` must already be imputed (the model's input columns, no NULLs).
     """
     spark = df.sparkSession
+    ensure_python_package(spark)
     bc = spark.sparkContext.broadcast(flat_trees(model))
     feats = list(features)
     key = list(key)

@@ -390,3 +390,44 @@ def m11(spark, sf):
     trials = TR.draw_trials(3, 11, M11_SPACE)
     res = TR.random_search_cv(_cv_vectors(spark, sf), trials, k=3, patience=50)
     return res.withColumn("neg_rmse", -F.col("cv_rmse"))
+
+
+@query("Q1_race_prediction_ensemble")
+def q1_ensemble(spark, sf):
+    """The interactive prediction flow on the test-season grids.
+
+    grid (names P2, lap times P1/P3, text grid position P21) -> PointsProp
+    from prior rounds with per-driver overrides (W1 + J8, default 0.5) ->
+    race-day settings frame (F7 with tyre one-hot P16) -> normalisation
+    (P6/P8) -> drop lapped (F4) -> fold-ensemble mean (M7/A12) ->
+    calibration fitted on validation (C1/C2) -> rank per race (W3) ->
+    podium flag (T3).
+    """
+    from pitwall.functions import scalars as S
+    from pitwall.operators.joins import override_values
+    from pitwall.plans.features import normalize_minimal
+    from pitwall.plans.q_relational import _race_settings
+
+    t = ml_table(spark, sf)
+    grid = t.filter(F.col("Season") == TEST).select(
+        *KEYS, S.clean_driver_name("DriverRaw").alias("Driver"), F.col("TeamName").alias("Team"),
+        S.grid_position(F.col("GridPosition").cast("string")).alias("GridPosition"),
+        S.avg_quali_time("Q1", "Q2", "Q3").alias("AvgQualiTime"), "PointsProp", "Status",
+        "weather_tire_cluster")
+    # a user override for every fifth driver (e.g. set from the UI)
+    overrides = grid.filter(F.pmod("DriverNumber", F.lit(5)) == 0).select(
+        *KEYS, F.lit(K.DEFAULT_POINTS_PROP).alias("PointsProp"))
+    grid = override_values(grid, overrides)
+    frame = FL.settings_frame(grid.drop("Status"), _race_settings(t), on=["Season", "Round"])
+    frame = frame.join(grid.select(*KEYS, "Status", F.col("weather_tire_cluster").alias("_wc")), KEYS) \
+                 .withColumn("weather_tire_cluster", F.col("_wc")).drop("_wc")
+    inp = FL.drop_lapped(normalize_minimal(frame))
+    ens, _ = _ensemble(spark, sf)
+    _, val, _ = splits(spark, sf)
+    cal = fit_linear_calibration(ens.predict_mean(val).join(
+        val.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS))
+    scored = apply_calibration(ens.predict_mean(inp), cal, p="y_pred", out="PredictedDeviation")
+    ranked = W.rank_predictions(scored, "PredictedDeviation", method="auto")
+    out = ranked.join(inp.select(*KEYS, "Driver", "Team", "GridPosition"), KEYS)
+    return round_doubles(out.select(*KEYS, "Driver", "Team", "GridPosition", "PredictedDeviation",
+                                    "PredictedPosition", (F.col("PredictedPosition") <= 3).alias("podium")))

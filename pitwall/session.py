@@ -67,3 +67,29 @@ def reuse(df):
     """
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_SHIPPED: set = set()
+
+
+def ensure_python_package(spark) -> None:
+    """Ship the ``pitwall`` package to executor Python workers (the
+    ``--py-files`` mechanism) so ``mapInPandas`` functions can import it on
+    any cluster, once per application.  The zip is a driver-side build
+    artefact that Spark's file server distributes; no data goes through it."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="pitwall-pyfiles-"), "pitwall.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

@@ -116,11 +116,22 @@ def write_json_summary(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_category_map(rare_long: DataFrame, path: str) -> str:
-    """K3 for the rare map: one JSON line ``{column: [values]}`` per column,
-    written in parallel (no single-task collect of the whole map)."""
-    per_col = rare_long.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    per_col.select(F.to_json(F.create_map(F.col("column"), F.col("values"))).alias("value")) \
+def write_category_map(rare_long: DataFrame, path: str, values_per_line: int = 1000) -> str:
+    """K3 for the rare map: JSON lines ``{column: [values]}``.
+
+    A column's rare list can grow with the data (e.g. unique time strings),
+    so it is split over ``ceil(n / values_per_line)`` hash buckets: every
+    line holds about ``values_per_line`` values and no task gathers a whole
+    column.  ``read_category_map`` merges the lines back per column.
+    """
+    counts = rare_long.groupBy("column").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per column name: bounded by the schema width
+    buckets = F.broadcast(counts.select("column", F.greatest(F.lit(1), F.ceil(F.col("_n") / values_per_line))
+                                        .cast("int").alias("_b")))
+    tagged = rare_long.join(buckets, "column").withColumn(
+        "_bucket", F.pmod(F.xxhash64("value"), F.col("_b")))
+    per_line = tagged.groupBy("column", "_bucket").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    per_line.select(F.to_json(F.create_map(F.col("column"), F.col("values"))).alias("value")) \
         .write.mode("overwrite").text(path)
     return path
 

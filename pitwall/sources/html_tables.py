@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import clean_driver_name
+from pitwall.session import ensure_python_package
 
 CELL_SCHEMA = "page_id long, row int, col int, header string, text string"
 
@@ -74,6 +75,7 @@ def _parse(batches):
 
 
 def extract_cells(pages: DataFrame) -> DataFrame:
+    ensure_python_package(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_parse, CELL_SCHEMA)
 
 
