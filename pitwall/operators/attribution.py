@@ -126,7 +126,13 @@ def _unwound_sum(m, i):
     return total
 
 
-def tree_shap_row(t, x: np.ndarray, phi: np.ndarray, scale: float) -> None:
+def _as_lists(t) -> dict:
+    """Plain Python lists: scalar indexing in the recursion is much cheaper
+    than on numpy arrays."""
+    return {k: (v.tolist() if isinstance(v, np.ndarray) else v) for k, v in t.items()}
+
+
+def tree_shap_row(t, x, phi, scale: float) -> None:
     left, right, feat, thr = t["left"], t["right"], t["feature"], t["threshold"]
     cover, value = t["cover"], t["value"]
 
@@ -151,12 +157,14 @@ def tree_shap_row(t, x: np.ndarray, phi: np.ndarray, scale: float) -> None:
 
 
 def shap_matrix(trees, X: np.ndarray) -> tuple[np.ndarray, float]:
-    phi = np.zeros_like(X, dtype=float)
-    for r in range(X.shape[0]):
-        for t in trees:
-            tree_shap_row(t, X[r], phi[r], t["weight"])
+    fast = [_as_lists(t) for t in trees]
+    rows = X.tolist()
+    phi = [[0.0] * X.shape[1] for _ in range(X.shape[0])]
+    for r, x in enumerate(rows):
+        for t in fast:
+            tree_shap_row(t, x, phi[r], t["weight"])
     bias = float(sum(t["weight"] * expected_value(t) for t in trees))
-    return phi, bias
+    return np.array(phi, dtype=float).reshape(X.shape), bias
 
 
 # ------------------------------------------------------------ Spark job M16

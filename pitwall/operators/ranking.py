@@ -32,10 +32,6 @@ from pyspark.sql import functions as F
 from pitwall.session import cut_lineage
 
 
-def _names(cols) -> list[str]:
-    return [c for c in cols if isinstance(c, str)]
-
-
 MAX_WINDOW_ROWS = 5_000_000
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall import constants as K
@@ -68,7 +68,7 @@ def points_prop(df: DataFrame, season: str = "Season", driver: str = "DriverId",
 # --------------------------------------------------------------------- W3
 def rank_predictions(df: DataFrame, pred: str = "prediction",
                      race: Sequence[str] = K.RACE, driver: str = "DriverNumber",
-                     out: str = "PredictedPosition", method: str = "window") -> DataFrame:
+                     out: str = "PredictedPosition", method: str = "auto") -> DataFrame:
     """Position 1..n per race by predicted deviation ascending (lower is
     better), NULL predictions last, driver number breaks ties."""
     order = [F.col(pred).asc_nulls_last(), F.col(driver).asc()]
@@ -154,7 +154,3 @@ def top_k_per_row(long_df: DataFrame, key: Sequence[str], k: int,
     w = Window.partitionBy(*key).orderBy(F.abs(F.col(value)).desc(), F.col(feature))
     return (long_df.withColumn(out, F.row_number().over(w).cast("bigint"))
                    .filter(F.col(out) <= k))
-
-
-def ordered(cols: Sequence[str | Column]):
-    return [F.col(c) if isinstance(c, str) else c for c in cols]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pitwall import constants as K
 from pitwall.functions import scalars as S
 from pitwall.operators import windows as W
-from pitwall.session import cut_lineage
+from pitwall.session import write_table
 from pitwall.sources.rig import race_entries
 
 
@@ -62,16 +62,18 @@ def features_memo(memo, build):
 
 def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
                materialize: bool = True) -> DataFrame:
-    """The feature table, checkpointed because every job reads it more than
-    once (train/val/test splits, folds, restarts) and because cutting the
-    lineage keeps every downstream plan small: analysing, optimising and
-    cache-matching a deep lineage dominated the ML jobs.  Within one Spark
-    application the checkpointed table is reused, like a written table."""
+    """The feature table, written once as parquet partitioned by Season in
+    the shared checkpoint folder: every job reads it more than once
+    (train/val/test splits, folds, restarts); the cut lineage keeps every
+    downstream plan small (analysing and cache-matching a deep lineage had
+    dominated the ML jobs); and season filters / column selections prune
+    the scan.  Within one Spark application the table is reused."""
     if not materialize:
         return race_features(race_entries(spark, sf_dir, grain))
     memo = (spark.sparkContext.applicationId, sf_dir, grain)
     if memo not in _TABLES:
-        _TABLES[memo] = cut_lineage(race_features(race_entries(spark, sf_dir, grain)))
+        _TABLES[memo] = write_table(race_features(race_entries(spark, sf_dir, grain)),
+                                    f"race_features_{grain}", ["Season"])
     return _TABLES[memo]
 
 

@@ -41,8 +41,8 @@ def clustered(spark, sf):
         f = feat(spark, sf)
         labels, model, cost = CL.cluster_table(f, K_CLUSTERS, RESTARTS)
         lab = labels.select(*KEYS, "weather_tire_cluster")
-        from pitwall.session import cut_lineage
-        return cut_lineage(attach_labels(f, lab)), model, cost
+        from pitwall.session import write_table
+        return write_table(attach_labels(f, lab), "race_clustered", ["Season"]), model, cost
     return features_memo(("clustered", spark.sparkContext.applicationId, sf), build)
 
 

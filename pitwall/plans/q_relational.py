@@ -20,7 +20,7 @@ from pitwall.operators import sampling as SM
 from pitwall.operators import windows as W
 from pitwall.operators.calibration import apply_calibration, calibrated_metrics, fit_linear_calibration
 from pitwall.oracles import features_ctes
-from pitwall.plans.common import (CONTRIB, CONTRIB_LONG_SQL, ENTRY_ID_SQL, KEY_SQL, KEYS, LINEAR,
+from pitwall.plans.common import (CONTRIB, CONTRIB_LONG_SQL, ENTRY_ID_SQL, KEY_SQL, KEYS,
                                   MEANS_SQL, MODELS_SQL, RULE_CLUSTER_SQL, TEST, TRAIN, TRAIN_SQL, VAL,
                                   VALUES_LONG_SQL, bq, contributions_long, contributions_wide, feat,
                                   hash_sql, linear_models, linear_preds, preds_sql, q, round_doubles,

@@ -93,3 +93,23 @@ def ensure_python_package(spark) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
     _SHIPPED.add(sc.applicationId)
+
+
+def write_table(df, name: str, partition_by=()):
+    """Materialise a reused table as parquet under ``spark.checkpoint.dir``
+    and read it back.
+
+    Like ``checkpoint()`` this cuts the lineage and survives executor loss,
+    but downstream plans get parquet column pruning, pushed filters and,
+    with ``partition_by``, partition pruning (e.g. season splits).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    # the original schema keeps partition-column types and column order
+    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])

@@ -35,3 +35,14 @@ def test_orders_scan_projects_needed_columns(spark):
     p = plan(rig.race_entries(spark, SF_SMALL, "customer"))
     assert "o_orderpriority" not in p
     assert "c_acctbal" not in p and "c_mktsegment" not in p
+
+
+def test_feature_table_scans_prune_seasons_and_columns(spark):
+    import __spark_entry__ as E
+    q = E.queries()["J3_truth_prediction_join"](spark, SF_SMALL)
+    p = plan(q)
+    assert "PartitionFilters: [" in p or "PartitionFilters" in q._jdf.queryExecution().toString()
+    fmt = q._jdf.queryExecution().explainString(
+        q.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "Season" in fmt and "= 1999" in fmt
+    assert "ReadSchema: struct<Round:bigint,DriverNumber:bigint,DeviationFromAvg_s:double>" in fmt
