@@ -23,7 +23,8 @@ def test_clean_driver_name(spark):
     cases = {None: None, "  Max VerstappenVER ": "Max Verstappen",
              "NicoHülkenbergHUL": "Nico Hülkenberg", "AL": "",
              "LandoNorrisNOR": "Lando Norris", "Lando Norris": "Lando Norris",
-             " OscarPiastriPIA ": "Oscar Piastri"}
+             " OscarPiastriPIA ": "Oscar Piastri",  # no-break spaces
+             "Max\u00a0\u00a0Verstappen": "Max Verstappen"}
     for v, want in cases.items():
         assert one(spark, S.clean_driver_name, v) == want, v
 
