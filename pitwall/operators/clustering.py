@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.functions import scalars as S
+from pitwall.session import right_size
 
 CLUSTER_FEATURES = (*K.WEATHER_COLUMNS, *K.TYRES, "WindDir_sin", "WindDir_cos")
 
@@ -69,7 +70,7 @@ def kmeans_best(vec_df: DataFrame, k: int, restarts: int = 20, seed: int = 42,
                 max_iter: int = 100, parallelism: int = 8, features: str = "features"):
     """Fit ``restarts`` KMeans models (concurrent jobs) and keep the lowest
     training cost.  Returns ``(model, cost)``."""
-    vec_df = vec_df.select(features).cache()
+    vec_df = right_size(vec_df.select(features))
 
     def fit(s):
         m = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=features).fit(vec_df)
@@ -121,7 +122,7 @@ def elbow(vec_df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 2
           seed: int = 42, features: str = "features", parallelism: int = 8) -> DataFrame:
     """Inertia (best of ``restarts``) and silhouette per k; every (k, seed)
     fit is an independent Spark job drawn from one bounded thread pool."""
-    vec_df = vec_df.select(features).cache()
+    vec_df = right_size(vec_df.select(features))
     jobs = [(k, seed + i) for k in ks for i in range(restarts)]
 
     def fit(job):

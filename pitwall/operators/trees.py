@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pitwall import constants as K
 from pitwall.operators.aggregates import regression_metrics
 from pitwall.operators.sampling import assign_folds, entry_id
-from pitwall.session import ensure_checkpoint_dir
+from pitwall.session import ensure_checkpoint_dir, right_size
 
 
 def _bq(c):
@@ -136,7 +136,7 @@ def random_search_val(vec_train: DataFrame, vec_val: DataFrame, trials: Sequence
                       patience: int = 20, label: str = K.TARGET, parallelism: int = 4) -> DataFrame:
     """M9: each trial fitted once on train, early-stopped on the fixed
     validation set; a failed trial yields NULL rmse."""
-    vec_train, vec_val = vec_train.cache(), vec_val.cache()
+    vec_train, vec_val = right_size(vec_train), right_size(vec_val)
 
     def run(i_p):
         i, p = i_p
@@ -170,7 +170,7 @@ def random_search_cv(vec_train: DataFrame, trials: Sequence[TreeParams], k: int
     """K-fold CV per trial, rounds chosen by the mean test-RMSE
     curve.  All (trial, fold) fits are independent jobs in one pool; a
     failed trial yields NULL."""
-    vec_train = vec_train.cache()
+    vec_train = right_size(vec_train)
     jobs = [(i, f) for i in range(len(trials)) for f in range(k)]
 
     def run(job):
@@ -243,7 +243,7 @@ def oof_ensemble(train: DataFrame, features: Sequence[str], params: TreeParams,
     features = tuple(features)
     medians = train_medians(train, features)
     vec = assemble(impute(train, medians, features), features)
-    vec = assign_folds(vec.withColumn("_eid", entry_id(*key)), F.col("_eid"), k, seed).cache()
+    vec = right_size(assign_folds(vec.withColumn("_eid", entry_id(*key)), F.col("_eid"), k, seed))
 
     def run(f):
         m = fit_gbt(vec.filter(F.col("fold") != f), params, label)

@@ -153,8 +153,9 @@ def q4(spark, sf):
 # =================================================================== trees
 def base_model(spark, sf):
     """The single GBT on the training seasons, fitted once per application."""
+    from pitwall.session import right_size
     return features_memo(("gbt", spark.sparkContext.applicationId, sf),
-                         lambda: TR.fit_gbt(vectors(spark, sf)[0], PARAMS))
+                         lambda: TR.fit_gbt(right_size(vectors(spark, sf)[0]), PARAMS))
 
 
 @query("M6_gbt_fit_predict")

@@ -113,3 +113,24 @@ def write_table(df, name: str, partition_by=()):
     w.parquet(path)
     # the original schema keeps partition-column types and column order
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+
+
+def right_size(df, rows_per_partition: int = 500_000):
+    """Cache an iterative-ML input with about ``rows_per_partition`` rows per
+    partition.
+
+    Spark ML runs one job per iteration over this input; on small inputs the
+    per-task overhead dominates, on large ones parallelism does.  Counting
+    the cached frame is one cheap job; only coalescing (no shuffle) is used,
+    so a big input keeps its partitions.
+    """
+    import math
+
+    df = df.cache()
+    target = max(1, math.ceil(df.count() / rows_per_partition))
+    if target < df.rdd.getNumPartitions():
+        sized = df.coalesce(target).cache()
+        sized.count()
+        df.unpersist()
+        return sized
+    return df
