@@ -53,3 +53,15 @@ def test_tree_shap_matches_brute_force():
     for r in range(X.shape[0]):
         np.testing.assert_allclose(phi[r], brute_shap(trees, X[r], nf), atol=1e-10)
         assert abs(phi[r].sum() + bias - tree_predict(trees, X[r])) < 1e-10
+
+
+def test_batch_equals_rowwise_on_deeper_trees():
+    from pitwall.operators.attribution import shap_matrix_rowwise
+    rng = np.random.default_rng(3)
+    trees = [make_tree(rng, 5, 6) for _ in range(8)]
+    # repeated features along paths exercise the unwind step
+    X = rng.normal(size=(300, 6))
+    a, ba = shap_matrix(trees, X)
+    b, bb = shap_matrix_rowwise(trees, X)
+    np.testing.assert_allclose(a, b, atol=1e-9)
+    assert ba == bb
