@@ -94,9 +94,12 @@ def timedelta_to_seconds(x) -> Column:
 
 # --------------------------------------------------------------------- P5
 def duration_seconds(start, end) -> Column:
-    """``end - start`` in seconds when both are non-null timestamps."""
+    """``end - start`` in seconds when both are non-null timestamps.
+
+    ``timestamp_diff`` in microseconds works on zone-less timestamps without
+    a session-time-zone conversion (no DST shift)."""
     return F.when(_c(start).isNotNull() & _c(end).isNotNull(),
-                  (F.unix_micros(_c(end)) - F.unix_micros(_c(start))) / F.lit(1e6))
+                  F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6))
 
 
 # ------------------------------------------------------------------ P6/P7

@@ -81,7 +81,7 @@ def pit_durations(spark, sf):
     """Consecutive events per user = pit in / pit out.  The 'next event'
     is a keyed self-join on a skew-safe per-user rank (a user may hold a
     third of all events), not a per-user window."""
-    ev = read_table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts")
     ranked = row_number_within(ev, ["user_id"], ["ts", "event_id"], out="seq", method="auto",
                                key=["event_id"], order_source=["ts", "event_id"])
     nxt = ranked.select("user_id", (F.col("seq") - 1).alias("seq"), F.col("ts").alias("ts_out"))
