@@ -97,7 +97,7 @@ def m4(spark, sf):
     inp = CL.cluster_inputs(feat(spark, sf))
     zc = [f"{c}_z" for c in CL.CLUSTER_FEATURES]
     vec = CL.assemble(CL.standardize(inp, CL.CLUSTER_FEATURES), zc)
-    return CL.elbow(vec, range(2, 11), restarts=5)
+    return CL.elbow(vec, range(2, 11), restarts=RESTARTS)
 
 
 def _pca(spark, sf):
