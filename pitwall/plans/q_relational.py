@@ -130,7 +130,7 @@ _F9_COLS = ("GridPosition", "Position", "Laps", "Points", "AvgQualiTime", "Finis
 def _f9_sql():
     out = []
     for c in _F9_COLS:
-        out.append(f"0.0 AS {q(c)}" if FL.is_leakage(c) else
+        out.append(f"CAST(0.0 AS DOUBLE) AS {q(c)}" if FL.is_leakage(c) else
                    (f"round({q(c)}, 6) AS {q(c)}" if c in ("DeltaFromAhead_s", "PointsProp", "AirTemp_C", "Points")
                     else q(c)))
     return ", ".join(out)
@@ -177,7 +177,7 @@ def f11(spark, sf):
 @query("V2_fill_absent_from_medians", sql=FEAT + f"""
 , med AS (SELECT median(AvgQualiTime) AS m1, median(races_prior_this_season) AS m2 FROM feat WHERE {TRAIN_SQL})
 SELECT {KEY_SQL}, GridPosition, round(COALESCE(m1, 0.0), 6) AS AvgQualiTime,
-       round(COALESCE(m2, 0.0), 6) AS races_prior_this_season, 0.0 AS weather_tire_cluster
+       round(COALESCE(m2, 0.0), 6) AS races_prior_this_season, CAST(0.0 AS DOUBLE) AS weather_tire_cluster
 FROM feat CROSS JOIN med WHERE Season = {TEST}""")
 def v2(spark, sf):
     f = feat(spark, sf)
@@ -190,7 +190,7 @@ def v2(spark, sf):
 
 @query("V3_align_to_contract", sql=FEAT + f"""
 SELECT {KEY_SQL}, CAST(GridPosition AS DOUBLE) AS GridPosition, round(AvgQualiTime, 6) AS AvgQualiTime,
-       0.0 AS weather_tire_cluster, {_r(K.TYRES)}, round(races_prior_this_season, 6) AS races_prior_this_season,
+       CAST(0.0 AS DOUBLE) AS weather_tire_cluster, {_r(K.TYRES)}, round(races_prior_this_season, 6) AS races_prior_this_season,
        CAST(Rain AS DOUBLE) AS Rain, round(PointsProp, 6) AS PointsProp FROM feat""")
 def v3(spark, sf):
     return R(FL.align_to_contract(feat(spark, sf), K.MINIMAL_FEATURES, keep=KEYS))
@@ -405,7 +405,7 @@ def _fold_preds(f):
 
 
 _FOLD_SQL = f"""
-tr AS (SELECT *, {hash_sql(ENTRY_ID_SQL, 5, 42)} AS fold FROM feat
+tr AS (SELECT *, CAST({hash_sql(ENTRY_ID_SQL, 5, 42)} AS INTEGER) AS fold FROM feat
        WHERE {TRAIN_SQL} AND DeviationFromAvg_s IS NOT NULL),
 fm AS (SELECT k.fold, regr_intercept(t.DeviationFromAvg_s, t.GridPosition) AS intercept,
               regr_slope(t.DeviationFromAvg_s, t.GridPosition) AS slope

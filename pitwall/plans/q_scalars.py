@@ -190,7 +190,7 @@ def p11(spark, sf):
 
 
 @query("A16_replacement_counts", sql=FEAT + f", {_RARE_SQL}" + f"""
-SELECT SUM(CASE WHEN r.value IS NOT NULL THEN 1 ELSE 0 END) AS Laps
+SELECT CAST(SUM(CASE WHEN r.value IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS Laps
 FROM feat f LEFT JOIN (SELECT value FROM rare WHERE "column" = 'Laps' AND count < {RARE_MIN_COUNT}) r
   ON r.value = COALESCE(CAST(f.Laps AS VARCHAR), 'missing')""")
 def a16(spark, sf):
