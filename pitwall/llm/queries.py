@@ -1,6 +1,6 @@
 """The production queries of this package: id -> callable, id -> oracle SQL."""
 
-from pitwall.llm import mixing, sharding  # noqa: F401
+from pitwall.llm import mixing, quality, sharding  # noqa: F401
 from pitwall.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
