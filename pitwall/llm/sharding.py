@@ -89,39 +89,41 @@ def _smallest(m: Marks, shards: int, low: int, high: int, anywhere: bool) -> int
 
 def minimax_cuts(sums: DataFrame, marks: Marks, shards: int, largest: int) -> list[int]:
     """Running sums at which to cut; ``sums`` has one row per group (``end``)."""
-    total = marks.at[-1]
-    if total == 0:
-        return []
-    while True:
+    total, budget, width = marks.at[-1], MARKS, None
+    while total:
         low = max(-(-total // shards), largest)
         high = _smallest(marks, shards, low, total, False)
         low = _smallest(marks, shards, low, high, True)
         if low == high:
             return _sweep(marks, shards, high, False)
         # where the k-th cut can fall for any capacity in low..high
-        windows, first, last = set(), 0, 0
+        ranges, first, last = [], 0, 0
         for _ in range(shards):
             first_x, last_x = first + low, min(last + high, total - 1)
             if first_x >= total:
                 break
             a, b = bisect_right(marks.at, first_x) - 1, bisect_right(marks.at, last_x) - 1
-            windows.update(i for i in range(a, b + 1) if not marks.whole[i])
+            open_ = [i for i in range(a, b + 1) if not marks.whole[i]]
+            if open_:
+                start, end = marks.at[open_[0]], marks.at[open_[-1] + 1]
+                if ranges and start <= ranges[-1][1]:
+                    ranges[-1][1] = max(end, ranges[-1][1])
+                else:
+                    ranges.append([start, end])
             first, last = marks.at[a], last_x
-        marks.refine(_finer(sums, marks, sorted(windows)))
-
-
-def _finer(sums: DataFrame, marks: Marks, stretches: list[int]) -> list[tuple[int, bool]]:
-    """At most about MARKS further sums inside the given stretches.
-
-    Neighbouring stretches are read as one range; each range is divided into
-    equal parts and the last sum of every part becomes a mark."""
-    ranges: list[list[int]] = []
-    for i in stretches:
-        if ranges and ranges[-1][1] == marks.at[i]:
-            ranges[-1][1] = marks.at[i + 1]
-        else:
-            ranges.append([marks.at[i], marks.at[i + 1]])
-    parts = max(2, MARKS // len(ranges))
+        # many small groups beside few large ones: equal parts may not thin
+        # them out, so parts get finer until they do
+        now = sum(b - a for a, b in ranges)
+        budget = budget * 4 if width is not None and now * 2 > width else budget
+        width = now
+        marks.refine(_finer(sums, ranges, budget))
+    return []
+
+
+def _finer(sums: DataFrame, ranges: list[list[int]], budget: int) -> list[tuple[int, bool]]:
+    """About ``2 * budget`` further sums at most inside the given ranges (one
+    per cut): the first and the last sum of each of ``budget`` equal parts."""
+    parts = max(2, budget // len(ranges))
     inside, part = F.lit(False), F.lit(None).cast("long")
     for k, (a, b) in enumerate(ranges):
         here = (F.col("end") > a) & (F.col("end") <= b)
@@ -129,31 +131,40 @@ def _finer(sums: DataFrame, marks: Marks, stretches: list[int]) -> list[tuple[in
         wide = -(-(b - a) // parts)
         part = F.when(here, F.lit(k * parts) + F.floor((F.col("end") - a - 1) / F.lit(wide))).otherwise(part)
     rows = (sums.where(inside).groupBy(part.alias("part"))
-            .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).collect())
-    return [(r["end"], r["n"] == 1) for r in rows]
+            .agg(F.min("end").alias("lo"), F.max("end").alias("hi"), F.count(F.lit(1)).alias("n")).collect())
+    # nothing lies between a part's first sum and the last one before the part
+    return [(r["lo"], True) for r in rows] + [(r["hi"], r["n"] <= 2) for r in rows]
 
 
-def _running(groups: DataFrame) -> tuple[DataFrame, Marks, int]:
-    """``groups``: g, bytes.  Returns (g, end) with the running sum of bytes,
-    the marks at the chunk ends and the largest group."""
-    groups = groups.withColumn("chunk", F.substring("g", 1, CHUNK_HEX))
-    chunks = sorted(groups.groupBy("chunk").agg(
+def _chunk_totals(groups: DataFrame) -> list:
+    """Per chunk of the hash order: bytes, groups and largest group, sorted."""
+    return sorted(groups.groupBy(F.substring("g", 1, CHUNK_HEX).alias("chunk")).agg(
         F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"),
         F.count(F.lit(1)).alias("n")).collect())
-    spark, at, rows = groups.sparkSession, 0, []
-    marks = Marks([0])
+
+
+def _running(groups: DataFrame, chunks: list, alone: dict[str, int]) -> tuple[DataFrame, Marks, int]:
+    """(g, end) with the running sum of bytes over the groups not ``alone``,
+    the marks at the chunk ends, and a lower bound of the largest group."""
+    spark, at, rows, marks, largest = groups.sparkSession, 0, [], Marks([0]), 0
     for c in chunks:
+        out = [b for g, b in alone.items() if g[:CHUNK_HEX] == c["chunk"]]
+        if len(out) == c["n"]:
+            continue
         rows.append((c["chunk"], at))
-        at += c["bytes"]
+        at += c["bytes"] - sum(out)
         marks.at.append(at)
-        marks.whole.append(c["n"] == 1)
+        marks.whole.append(c["n"] - len(out) == 1)
+        largest = max(largest, 0 if out else c["largest"])
     starts = spark.createDataFrame(rows, "chunk string, start long")
     inside = Window.partitionBy("chunk").orderBy("g").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    rest = groups.where(~F.col("g").isin(list(alone))) if alone else groups
     # ``starts`` has at most 16 ** CHUNK_HEX rows by construction
-    sums = groups.withColumn("run", F.sum("bytes").over(inside)).join(
-        F.broadcast(starts), "chunk").select("g", (F.col("start") + F.col("run")).alias("end"))
-    return write_table(sums, "shard-sums"), marks, max((c["largest"] for c in chunks), default=0)
+    sums = rest.withColumn("chunk", F.substring("g", 1, CHUNK_HEX)).withColumn(
+        "run", F.sum("bytes").over(inside)).join(F.broadcast(starts), "chunk").select(
+        "g", (F.col("start") + F.col("run")).alias("end"))
+    return write_table(sums, "shard-sums"), marks, largest
 
 
 def digest(docs: DataFrame, *keep: str) -> DataFrame:
@@ -168,17 +179,17 @@ def digest(docs: DataFrame, *keep: str) -> DataFrame:
 def shard_of(digests: DataFrame, shards: int) -> Column:
     """Expression over ``g`` that gives each group's shard."""
     groups = write_table(digests.groupBy("g").agg(F.sum("size").alias("bytes")), "shard-groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    # groups above an equal share: fewer than ``shards`` of them
-    giants = sorted(groups.where(F.col("bytes") > F.lit(total / shards)).collect(),
-                    key=lambda r: (-r["bytes"], r["g"]))
-    alone, left = [], total
-    for r in giants:
-        if shards - len(alone) > 1 and r["bytes"] * (shards - len(alone)) > left:
-            alone.append(r["g"])
-            left -= r["bytes"]
-    rest = groups.where(~F.col("g").isin(alone)) if alone else groups
-    sums, marks, largest = _running(rest)
+    chunks = _chunk_totals(groups)
+    total = sum(c["bytes"] for c in chunks)
+    alone, left = {}, total
+    if any(c["largest"] * shards > total for c in chunks):
+        # groups above an equal share: fewer than ``shards`` of them
+        for r in sorted(groups.where(F.col("bytes") * shards > total).collect(),
+                        key=lambda r: (-r["bytes"], r["g"])):
+            if shards - len(alone) > 1 and r["bytes"] * (shards - len(alone)) > left:
+                alone[r["g"]] = r["bytes"]
+                left -= r["bytes"]
+    sums, marks, largest = _running(groups, chunks, alone)
     cuts = minimax_cuts(sums, marks, shards - len(alone), largest)
     # the last group of every shard but the last one
     ends = sorted(r["g"] for r in sums.where(F.col("end").isin(cuts[:-1])).collect()) if cuts[:-1] else []
