@@ -1,6 +1,6 @@
 """The production queries of this package: id -> callable, id -> oracle SQL."""
 
-from pitwall.llm import lines, mixing, quality, sharding, simhash  # noqa: F401
+from pitwall.llm import lines, mixing, packing, quality, sharding, simhash  # noqa: F401
 from pitwall.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
