@@ -1,6 +1,17 @@
 """The production queries of this package: id -> callable, id -> oracle SQL."""
 
-from pitwall.llm import licenses, lines, mixing, packing, pii, quality, sharding, simhash  # noqa: F401
+from pitwall.llm import (
+    language,
+    licenses,
+    lines,
+    mixing,
+    packing,
+    phrases,
+    pii,
+    quality,
+    sharding,
+    simhash,
+)
 from pitwall.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
