@@ -49,7 +49,8 @@ def normal(line: Column) -> Column:
 def text_lines(docs: DataFrame) -> DataFrame:
     """doc_id, at (line number from 0), line (normal): the lines with a word."""
     return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-            .select("doc_id", "at", normal(F.col("line")).alias("line")).where("line != ''"))
+            .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+            .select("doc_id", "at", normal(F.col("line")).alias("line")))
 
 
 def _class(line: Column) -> Column:
@@ -70,28 +71,36 @@ def _long_enough(line: Column, min_words: int) -> Column:
             >= min_words - 1)
 
 
-def _code(word: Column, place: Column) -> Column:
-    return F.pmod(F.xxhash64(word, place), F.lit(PRIME))
+def _follow(a: Column, b: Column) -> Column:
+    """Code of two neighbours; null stands for the line's edge."""
+    return F.pmod(F.xxhash64(a, F.lit("|"), b), F.lit(PRIME))
 
 
-def _variants(line: Column) -> Column:
-    """Array of (i, sum): the code of the sequence without word i (from 0).
+def _follows(w: Column) -> Column:
+    """Sum of the codes of all neighbours, edges included."""
+    edge = F.lit(None).cast("string")
+    inner = F.aggregate(F.transform(w, lambda x, i: _follow(x, F.get(w, i + 1))), F.lit(0).cast("long"),
+                        lambda s, x: (s + x) % F.lit(PRIME))
+    return (inner + _follow(edge, F.get(w, F.lit(0)))) % F.lit(PRIME)
+
 
-    A word's code depends on its place; words after the deleted one move up.
-    Running sums give all codes in one pass."""
-    w = F.split(line, " ")
-    stay, move = F.transform(w, _code), F.transform(w, lambda x, i: _code(x, i - 1))
+def _variants(line: Column) -> Column:
+    """Array of (i, kept, follows), one per word i that may be left out.
 
-    def sums(codes: Column) -> Column:  # sums[i]: codes before i
-        return F.aggregate(codes, F.array(F.lit(0).cast("long")), lambda acc, x: F.array_append(
-            acc, (F.element_at(acc, -1) + x) % F.lit(PRIME)))
+    ``kept`` codes the words at their places, all but word i; ``follows`` the
+    neighbours that are left (equal sequences have equal sums; the few other
+    sequences with equal sums fail the comparison of the words)."""
+    def of(w: Column) -> Column:
+        places = F.aggregate(F.transform(w, lambda x, i: F.xxhash64(x, i)), F.lit(0).cast("long"),
+                             lambda s, x: s.bitwiseXOR(x))
+        sums = F.transform(F.array(F.struct(places.alias("p"), _follows(w).alias("f"))), lambda s: F.transform(
+            w, lambda x, i: F.struct(
+                i.alias("i"), s["p"].bitwiseXOR(F.xxhash64(x, i)).alias("kept"),
+                ((s["f"] + 2 * F.lit(PRIME) - _follow(F.get(w, i - 1), x) - _follow(x, F.get(w, i + 1))
+                  + _follow(F.get(w, i - 1), F.get(w, i + 1))) % F.lit(PRIME)).alias("follows"))))
+        return F.element_at(sums, 1)
 
-    both = F.transform(F.array(F.struct(sums(stay).alias("a"), sums(move).alias("b"))),
-                       lambda s: F.transform(F.sequence(F.lit(0), F.size(s["a"]) - 2), lambda i: F.struct(
-                           i.alias("i"),
-                           ((F.get(s["a"], i) + F.lit(PRIME) + F.element_at(s["b"], -1)
-                             - F.get(s["b"], i + 1)) % F.lit(PRIME)).alias("v"))))
-    return F.element_at(both, 1)
+    return F.element_at(F.transform(F.array(F.split(line, " ")), of), 1)
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -131,9 +140,10 @@ def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_classes(some: DataFrame) -> DataFrame:
     """c, keeper: classes with an earlier near class, and one such class."""
-    v = some.select("c", F.size(F.split("line", " ")).alias("n"), F.explode(_variants(F.col("line"))).alias("x"))
-    v = v.select("c", F.xxhash64("x.v", F.col("n") - 1).alias("without"),
-                 F.xxhash64("x.v", F.col("n") - 1, "x.i").alias("at_place"))
+    n = F.size(F.split("line", " "))
+    v = some.select("c", n.alias("n"), F.explode(_variants(F.col("line"))).alias("x"))
+    v = write_table(v.select("c", F.xxhash64("x.follows", F.col("n") - 1).alias("without"),
+                             F.xxhash64("x.kept", "n", "x.i").alias("at_place")), "line-variants")
     place = some.select("c", "pos")
     # replaced: same sequence without the word at the same place; the earliest
     # class of such a key is near to all its others
@@ -145,10 +155,9 @@ def near_classes(some: DataFrame) -> DataFrame:
     swapped = swapped.join(least, "at_place").select("c", "pos", F.col("m.c").alias("c2"),
                                                      F.col("m.pos").alias("pos2"))
     # inserted or deleted: the sequence without a word is the other line
-    whole = F.aggregate(F.transform(F.split("line", " "), _code), F.lit(0).cast("long"),
-                        lambda a, x: (a + x) % F.lit(PRIME))
+    follows = F.element_at(F.transform(F.array(F.split("line", " ")), _follows), 1)
     full = some.select(F.col("c").alias("c2"), F.col("pos").alias("pos2"),
-                       F.xxhash64(whole, F.size(F.split("line", " "))).alias("without"))
+                       F.xxhash64(follows, n).alias("without"))
     grown = (v.select("c", "without").join(full, "without").distinct().join(place, "c")
              .select("c", "pos", "c2", "pos2"))
     later = F.when(F.col("pos") > F.col("pos2"), F.struct("c", F.col("c2").alias("keeper"))).otherwise(
