@@ -160,11 +160,13 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         out = few if out is None else out.union(few)
         if size.where(F.col("n") > bucket).isEmpty():
             return out
-        finer = {m: finer_masks(m, radius) for m in masks}
-        masks = sorted({x for f in finer.values() for x in f})
-        more = spark.createDataFrame([(_signed(m), [_signed(x) for x in f]) for m, f in finer.items()],
-                                     "mask long, finer array<long>")  # 15 * 4 ** level rows
-        rows = (met.where(F.col("n") > bucket).select("fp", "rep", "mask").join(F.broadcast(more), "mask")
+        crowded = met.where(F.col("n") > bucket)
+        # masks with a crowded bucket: 15 at first, at most four times as many a level
+        hot = [r["mask"] for r in crowded.select("mask").distinct().collect()]
+        more = spark.createDataFrame(
+            [(m, [_signed(x) for x in finer_masks(m % (1 << 64), radius)]) for m in hot],
+            "mask long, finer array<long>")
+        rows = (crowded.select("fp", "rep", "mask").join(F.broadcast(more), "mask")
                 .select("fp", "rep", F.explode("finer").alias("mask")))
 
 
