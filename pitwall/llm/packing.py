@@ -43,7 +43,7 @@ GROUP = 16384             # pieces of a group, on average
 RELEASE = GROUP // 8      # pieces that a group releases at most
 ROUNDS = 3                # exchanges
 SLICE = 6 << 20           # bytes of text encoded at once in a worker
-KNOWN = 600_000           # parts and words whose ids a worker keeps at most
+KNOWN = 1_000_000         # parts and words whose ids a worker keeps at most
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # Parts of only these characters are split here as the tokenizer's own rule
@@ -67,7 +67,7 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: pa.Array) -> None:
         new = parts.to_pylist()
