@@ -241,13 +241,13 @@ def grid_position(x) -> Column:
 
 # ---------------------------------------------------- portable seeded hash
 def portable_bucket(key, m: int, seed: int = 0) -> Column:
-    """``pmod((key mod 2^31-1) * 2654435761 + seed, m)`` on a bigint key.
+    """60 bits of ``md5(seed ':' key)``, modulo ``m``.
 
-    Deterministic, identical in any SQL engine, and overflow-free for every
-    bigint key.  Used for seeded folds / splits / samples (T4-T6).
+    Deterministic and identical in any SQL engine; another seed gives an
+    independent assignment.  Used for seeded folds / splits / samples (T4-T6).
     """
-    k = F.pmod(_c(key).cast("bigint"), F.lit(2147483647))
-    return F.pmod(k * F.lit(2654435761) + F.lit(seed), F.lit(m))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint"), F.lit(m))
 
 
 def portable_unit(key, seed: int = 0, buckets: int = 1_000_003) -> Column:

@@ -307,11 +307,9 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     key = list(key)
     feats = list(features)
     base = df.select(*key, id_col, *[F.col(f"`{c}`") for c in feats], F.col(label)).withColumn("_g", F.lit(0))
-    by_key = row_number_within(base, ["_g"], [F.col(id_col)], out="_rk", method="range",
-                               key=[id_col], order_source=[id_col])
+    by_key = row_number_within(base, ["_g"], [F.col(id_col)], out="_rk")
     by_hash = row_number_within(base.withColumn("_h", portable_bucket(F.col(id_col), 2147483647, seed)),
-                                ["_g"], [F.col("_h"), F.col(id_col)], out="_rh", method="range",
-                                key=[id_col], order_source=["_h", id_col])
+                                ["_g"], [F.col("_h"), F.col(id_col)], out="_rh")
     donor = by_hash.select(F.col("_rh").alias("_rk"), *[F.col(f"`{c}`").alias(f"_d_{i}")
                                                          for i, c in enumerate(feats)])
     # checkpoint: read once per feature variant below, and the short lineage

@@ -79,7 +79,12 @@ def settings_frame(df: DataFrame, settings: DataFrame, columns: Sequence[str] =
     if on:
         joined = df.join(settings, list(on), "left")
     else:
-        joined = df.crossJoin(F.broadcast(settings.limit(1)))
+        # one row; further settings rows fail the job instead of being dropped
+        cols = [c for c in settings.columns]
+        one = settings.agg(F.count(F.lit(1)).alias("_n"), *[F.first(F.col(f"`{c}`")).alias(c) for c in cols])
+        one = one.filter(F.when(F.col("_n") <= 1, F.col("_n") == 1).otherwise(F.raise_error(
+            F.lit("settings must have one row")).cast("boolean"))).drop("_n")
+        joined = df.crossJoin(F.broadcast(one))
     have = set(df.columns) | set(settings.columns)
     keep = [c for c in K.KEY if c in df.columns]
     return joined.select(*keep, *[

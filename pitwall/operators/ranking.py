@@ -1,25 +1,23 @@
-"""Exact row numbers within groups (W3, rig positions) — two strategies.
+"""Exact row numbers within groups (P5, W3, rig positions).
 
-``method="window"``: ``row_number() OVER (PARTITION BY group ORDER BY ...)``.
-Right when every group is bounded (a 20-car grid, 25 nations).
+``method="range"`` (default) is one path for every size: a group may hold a
+third of all rows, so no task ever takes a whole group.
 
-``method="auto"`` (default): measure the largest group with one aggregate
-(over the narrow key projection) and use the window while it stays under
-``max_window_rows``, else the range method — a size check before choosing
-the single-task plan, like a checked broadcast.
-
-``method="range"``: skew-safe.  A window puts a whole group in one task; if
-one race holds a third of all rows that task is the job.  Instead:
-
-1. project to key + group + order columns only;
-2. ``repartitionByRange`` on (group, order): the sampled range bounds split a
+1. ``repartitionByRange`` on (group, order): the sampled range bounds split a
    hot group across many partitions; sort within partitions;
-3. tag rows with ``(partition id, monotonically increasing id)`` and write a
-   reliable checkpoint so the ids are stable under recomputation/executor loss;
-4. per (partition, group): first id and count (at most groups + partitions
+2. tag rows with ``(partition id, monotonically increasing id)`` and write
+   them under ``spark.checkpoint.dir``, so the ids are stable under
+   recomputation and executor loss;
+3. per (partition, group): first id and count (at most groups + partitions
    rows), prefix-sum counts over partitions per group (a hot group has at
    most ``num_partitions`` rows there);
-5. rank = id - first + offset + 1, joined back on the unique key.
+4. rank = id - first + offset + 1.
+
+Whole rows travel through the ranges and offsets join null-safely, so null
+groups, null order values and tied rows rank as in a window.
+
+``method="window"``: ``row_number() OVER (PARTITION BY group ORDER BY ...)``,
+for groups that are bounded by construction (a grid of 25 nations).
 """
 
 from __future__ import annotations
@@ -29,53 +27,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.session import cut_lineage
-
-
-MAX_WINDOW_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) if group else df.select(
-        F.count(F.lit(1)).alias("_n"))
-    return int(counts.agg(F.max("_n")).first()[0] or 0)
+from pitwall.session import write_table
 
 
 def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                      out: str = "rn", method: str = "auto",
-                      key: Sequence[str] | None = None,
-                      order_source: Sequence[str] | None = None,
-                      num_partitions: int | None = None,
-                      max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
-    """Add ``out`` = 1..n within each group following ``order`` (must be total).
+                      out: str = "rn", method: str = "range",
+                      num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1..n within each group following ``order``.
 
-    For ``method="range"``/``"auto"`` pass ``key`` (unique row key) and
-    ``order_source`` (the plain columns the order expressions read).
-    """
+    Rows tied on ``order`` get consecutive numbers in no defined order."""
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    if method == "auto":
-        method = "window" if largest_group(df.select(*group), group) <= max_window_rows else "range"
     if method == "window":
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
-    if not key:
-        raise ValueError("range ranking needs a unique key")
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(dict.fromkeys([*key, *group, *(order_source or [])]))
-    narrow = df.select(*cols)
-    ranged = (narrow.repartitionByRange(n, *[F.col(g) for g in group], *order)
-              .sortWithinPartitions(*[F.col(g) for g in group], *order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged.select(*key, *group, "_pid", "_mid"))
-    stats = ranged.groupBy("_pid", *group).agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    prior = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
-    ranks = (ranged.join(stats, ["_pid", *group])
-             .select(*key, (F.col("_mid") - F.col("_first") + F.col("_off") + 1)
-                     .cast("bigint").alias(out)))
-    return df.join(ranks, list(key))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(g) for g in group]
+    ranged = write_table(df.repartitionByRange(n, *keys, *order)
+                         .sortWithinPartitions(*keys, *order)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    prior = Window.partitionBy(*[f"_g{i}" for i in range(len(group))]).orderBy("_p").rowsBetween(
+        Window.unboundedPreceding, -1)
+    stats = (ranged.groupBy(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
+             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+             .withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))))
+    on = ranged["_pid"] == stats["_p"]
+    for i, g in enumerate(group):
+        on = on & ranged[g].eqNullSafe(stats[f"_g{i}"])
+    rank = (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("bigint").alias(out)
+    return ranged.join(stats, on).select(*[ranged[c] for c in df.columns], rank)

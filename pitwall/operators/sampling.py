@@ -16,8 +16,8 @@ from pitwall.functions.scalars import portable_bucket, portable_unit
 
 
 def entry_id(season="Season", rnd="Round", driver="DriverNumber") -> Column:
-    """Single bigint id of a race entry (input of the seeded hashes)."""
-    return (F.col(season) * 100 + F.col(rnd)) * 1_000_000 + F.col(driver)
+    """The whole key of a race entry as text (input of the seeded hashes)."""
+    return F.concat_ws(":", season, rnd, driver)
 
 
 # --------------------------------------------------------------------- T2

@@ -68,12 +68,11 @@ def points_prop(df: DataFrame, season: str = "Season", driver: str = "DriverId",
 # --------------------------------------------------------------------- W3
 def rank_predictions(df: DataFrame, pred: str = "prediction",
                      race: Sequence[str] = K.RACE, driver: str = "DriverNumber",
-                     out: str = "PredictedPosition", method: str = "auto") -> DataFrame:
+                     out: str = "PredictedPosition", method: str = "range") -> DataFrame:
     """Position 1..n per race by predicted deviation ascending (lower is
     better), NULL predictions last, driver number breaks ties."""
     order = [F.col(pred).asc_nulls_last(), F.col(driver).asc()]
-    return row_number_within(df, list(race), order, out=out, method=method,
-                             key=[*race, driver], order_source=[pred, driver])
+    return row_number_within(df, list(race), order, out=out, method=method)
 
 
 def podium(df: DataFrame, pos: str = "PredictedPosition", k: int = 3) -> DataFrame:

@@ -50,11 +50,11 @@ def with_entry_id(df: DataFrame) -> DataFrame:
     return df.withColumn("entry_id", entry_id())
 
 
-ENTRY_ID_SQL = "((Season * 100 + Round) * 1000000 + DriverNumber)"
+ENTRY_ID_SQL = "concat_ws(':', Season, Round, DriverNumber)"
 
 
 def hash_sql(key: str, m: int, seed: int) -> str:
-    return f"((({key} % 2147483647) * 2654435761 + {seed}) % {m})"
+    return f"(CAST('0x' || substr(md5('{seed}:' || {key}), 1, 15) AS BIGINT) % {m})"
 
 
 # ------------------------------------------------------------ linear models

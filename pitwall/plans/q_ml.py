@@ -428,7 +428,7 @@ def q1_ensemble(spark, sf):
     cal = fit_linear_calibration(ens.predict_mean(val).join(
         val.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS))
     scored = apply_calibration(ens.predict_mean(inp), cal, p="y_pred", out="PredictedDeviation")
-    ranked = W.rank_predictions(scored, "PredictedDeviation", method="auto")
+    ranked = W.rank_predictions(scored, "PredictedDeviation")
     out = ranked.join(inp.select(*KEYS, "Driver", "Team", "GridPosition"), KEYS)
     return round_doubles(out.select(*KEYS, "Driver", "Team", "GridPosition", "PredictedDeviation",
                                     "PredictedPosition", (F.col("PredictedPosition") <= 3).alias("podium")))

@@ -541,7 +541,8 @@ FROM stems GROUP BY 1""")
 def a21(spark, sf):
     p = linear_preds(feat(spark, sf)).filter(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
     w = Window.partitionBy("model").orderBy(F.abs(F.col("y_true") - F.col("y_pred")).desc(), *KEYS)
-    top = p.withColumn("_r", F.row_number().over(w) - 1).filter(F.col("_r") < 5)
+    # filtered on the rank itself: each task keeps five rows per model before the shuffle
+    top = p.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 5).withColumn("_r", F.col("_r") - 1)
     stems = (top.select(F.concat(F.lit("shap_local_"), "model", F.lit("_row"), F.col("_r").cast("string")).alias("stem"))
              .unionByName(p.select(F.concat(F.lit("shap_local_"), "model").alias("stem")).distinct()))
     pat = r"^shap_local_(.+?)(?:_row(\d+))?$"

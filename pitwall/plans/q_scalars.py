@@ -82,10 +82,9 @@ def pit_durations(spark, sf):
     is a keyed self-join on a skew-safe per-user rank (a user may hold a
     third of all events), not a per-user window."""
     ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts")
-    ranked = row_number_within(ev, ["user_id"], ["ts", "event_id"], out="seq", method="auto",
-                               key=["event_id"], order_source=["ts", "event_id"])
-    nxt = ranked.select("user_id", (F.col("seq") - 1).alias("seq"), F.col("ts").alias("ts_out"))
-    return (ranked.join(nxt, ["user_id", "seq"], "left")
+    ranked = row_number_within(ev, ["user_id"], ["ts", "event_id"], out="seq")
+    nxt = ranked.select(F.col("user_id").alias("_u"), (F.col("seq") - 1).alias("_s"), F.col("ts").alias("ts_out"))
+    return (ranked.join(nxt, ranked["user_id"].eqNullSafe(nxt["_u"]) & (ranked["seq"] == nxt["_s"]), "left")
                   .select("event_id", "user_id", "seq",
                           S.duration_seconds("ts", "ts_out").alias("pit_s")))
 

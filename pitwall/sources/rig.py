@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall import constants as K
-from pitwall.operators.ranking import MAX_WINDOW_ROWS, largest_group, row_number_within
+from pitwall.operators.ranking import row_number_within
 from pitwall.session import reuse
 
 # FIXED VALUES: per-race weather token list of the rig (index = raceid mod 15).
@@ -145,20 +145,13 @@ def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> Dat
     )
     cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 100)))
     # Positions: bounded grids (nation grain: <= 25 per race) use a window;
-    # the customer grain grows with the data, so its per-race ranks choose by
-    # the measured largest race (skew-safe range ranking above the bound).
-    key = ["Season", "Round", "DriverNumber"]
+    # the customer grain grows with the data, so its races are ranked in ranges.
     base = entries.join(n, F.col("team_key") == F.col("n_nationkey"))
-    # both rankings share the race groups: measure the largest race once
-    method = "window"
-    if grain != "nation" and largest_group(entries.select("Season", "Round"), ["Season", "Round"]) > MAX_WINDOW_ROWS:
-        method = "range"
+    method = "window" if grain == "nation" else "range"
     base = row_number_within(base, ["Season", "Round"], ["FinishTime_s", "DriverNumber"],
-                             out="Position", method=method, key=key,
-                             order_source=["FinishTime_s", "DriverNumber"])
+                             out="Position", method=method)
     base = row_number_within(base, ["Season", "Round"], ["first_order", "DriverNumber"],
-                             out="GridPosition", method=method, key=key,
-                             order_source=["first_order", "DriverNumber"])
+                             out="GridPosition", method=method)
     out = (base.join(races, ["Season", "Round"])
            .select(
                "Season", "Round", "DriverNumber",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pitwall.operators import aggregates as A
 from pitwall.operators import filters as FL
 from pitwall.operators import joins as J
+from pitwall.operators import sampling as SM
 from pitwall.operators import windows as W
 from pitwall.operators.ranking import row_number_within
 
@@ -45,12 +46,41 @@ def test_rank_ties_and_nulls(spark, method):
 def test_range_rank_matches_window_on_hot_group(spark):
     df = spark.range(0, 5000).select(F.lit(1).alias("g"), F.col("id"), (F.col("id") * 7919 % 1000).alias("v"))
     a = row_number_within(df, ["g"], ["v", "id"], out="r", method="window")
-    b = row_number_within(df, ["g"], ["v", "id"], out="r", method="range", key=["id"], order_source=["v", "id"],
-                          num_partitions=16)
+    b = row_number_within(df, ["g"], ["v", "id"], out="r", method="range", num_partitions=16)
     assert a.select("id", "r").exceptAll(b.select("id", "r")).count() == 0
     assert b.count() == 5000
 
 
+def test_range_rank_keeps_null_and_repeated_rows(spark):
+    rows = [(1, None), (1, 2), (None, 1), (None, 3), (None, None), (1, 2), (2, 5)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    a, b = (sorted(map(tuple, row_number_within(df, ["g"], ["v"], out="r", method=m).collect()), key=repr)
+            for m in ("window", "range"))
+    assert a == b and len(b) == len(rows)
+
+
+def test_seeds_give_other_balanced_folds(spark):
+    df = spark.sql("SELECT 2000 AS Season, 1 + id DIV 25 AS Round, 1 + id % 25 AS DriverNumber FROM range(2000)")
+    folds = {seed: [r.fold for r in SM.assign_folds(df, SM.entry_id(), 5, seed).collect()] for seed in (1, 42)}
+    assert sum(a == b for a, b in zip(folds[1], folds[42])) < 0.3 * 2000
+    for f in folds.values():
+        assert all(330 < f.count(k) < 470 for k in range(5))
+        by_driver = [f[i::25] for i in range(25)]
+        assert all(len(set(x)) == 5 for x in by_driver)
+    samples = [{tuple(r) for r in SM.seeded_sample(df, 100, SM.entry_id(), s).collect()} for s in (1, 2)]
+    assert len(samples[0] & samples[1]) < 30
+    big = spark.sql("SELECT 2000 AS Season, r AS Round, d AS DriverNumber FROM VALUES (1, 1000005), (2, 5) AS t(r, d)")
+    assert big.select(SM.entry_id().alias("k")).distinct().count() == 2
+
+
+def test_two_settings_rows_fail(spark):
+    df = spark.createDataFrame([(1,)], "Season int")
+    one = spark.createDataFrame([(25.0,)], "AirTemp_C double")
+    assert FL.settings_frame(df, one, ["AirTemp_C"]).first()["AirTemp_C"] == 25.0
+    with pytest.raises(Exception, match="one row"):
+        FL.settings_frame(df, one.union(one), ["AirTemp_C"]).collect()
+
+
 def test_duplicate_right_key_raises(spark):
     left = spark.createDataFrame([(1, 1, 1)], "DriverNumber int, Season int, Round int")
     right = spark.createDataFrame([(1, 1, 1, 0.1), (1, 1, 1, 0.2)],
