@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -143,7 +144,7 @@ def random_search_val(vec_train: DataFrame, vec_val: DataFrame, trials: Sequence
         try:
             _, rounds, curve = early_stopped(vec_train, vec_val, p, patience, label)
             return (i + 1, p, float(curve[rounds - 1]) ** 0.5, rounds)
-        except Exception:          # noqa: BLE001 - a failed trial is recorded as NULL
+        except IllegalArgumentException:   # parameters the engine refuses; other failures end the search
             return (i + 1, p, None, None)
 
     with _pool(len(trials), parallelism) as pool:
@@ -178,7 +179,7 @@ def random_search_cv(vec_train: DataFrame, trials: Sequence[TreeParams], k: int
         try:
             m = fit_gbt(vec_train.filter(F.col(fold_col) != f), trials[i], label)
             return i, m.evaluateEachIteration(vec_train.filter(F.col(fold_col) == f), "squared")
-        except Exception:          # noqa: BLE001
+        except IllegalArgumentException:
             return i, None
 
     with _pool(len(jobs), parallelism) as pool:
