@@ -61,9 +61,12 @@ def half_keys(line: Column) -> Column:
     """Hashes of the first and the last half; both roundings for odd lengths."""
     n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     down, up = F.floor(n / 2).cast("int"), F.ceil(n / 2).cast("int")
-    return F.array_distinct(F.array(*[
-        F.xxhash64(F.lit(side), k, F.call_function("substring_index", line, F.lit(" "), k * sign))
-        for side, sign in (("first", 1), ("last", -1)) for k in (down, up)]))
+    def key(side: str, k: Column) -> Column:
+        return F.xxhash64(F.lit(side), k, F.call_function(
+            "substring_index", line, F.lit(" "), k if side == "first" else -k))
+
+    return F.when(down == up, F.array(key("first", up), key("last", up))).otherwise(
+        F.array(*[key(side, k) for side in ("first", "last") for k in (down, up)]))
 
 
 def _long_enough(line: Column, min_words: int) -> Column:
@@ -76,12 +79,14 @@ def _follow(a: Column, b: Column) -> Column:
     return F.pmod(F.xxhash64(a, F.lit("|"), b), F.lit(PRIME))
 
 
-def _follows(w: Column) -> Column:
-    """Sum of the codes of all neighbours, edges included."""
-    edge = F.lit(None).cast("string")
-    inner = F.aggregate(F.transform(w, lambda x, i: _follow(x, F.get(w, i + 1))), F.lit(0).cast("long"),
-                        lambda s, x: (s + x) % F.lit(PRIME))
-    return (inner + _follow(edge, F.get(w, F.lit(0)))) % F.lit(PRIME)
+def _pairs(w: Column) -> Column:
+    """Codes of the neighbours before each word, then of the last and the edge."""
+    n = F.size(w)
+    return F.transform(F.sequence(F.lit(0), n), lambda i: _follow(F.get(w, i - 1), F.get(w, i)))
+
+
+def _total(codes: Column) -> Column:
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda s, x: (s + x) % F.lit(PRIME))
 
 
 def _variants(line: Column) -> Column:
@@ -90,17 +95,25 @@ def _variants(line: Column) -> Column:
     ``kept`` codes the words at their places, all but word i; ``follows`` the
     neighbours that are left (equal sequences have equal sums; the few other
     sequences with equal sums fail the comparison of the words)."""
-    def of(w: Column) -> Column:
-        places = F.aggregate(F.transform(w, lambda x, i: F.xxhash64(x, i)), F.lit(0).cast("long"),
-                             lambda s, x: s.bitwiseXOR(x))
-        sums = F.transform(F.array(F.struct(places.alias("p"), _follows(w).alias("f"))), lambda s: F.transform(
-            w, lambda x, i: F.struct(
-                i.alias("i"), s["p"].bitwiseXOR(F.xxhash64(x, i)).alias("kept"),
-                ((s["f"] + 2 * F.lit(PRIME) - _follow(F.get(w, i - 1), x) - _follow(x, F.get(w, i + 1))
-                  + _follow(F.get(w, i - 1), F.get(w, i + 1))) % F.lit(PRIME)).alias("follows"))))
-        return F.element_at(sums, 1)
+    def coded(w: Column) -> Column:
+        return F.struct(w.alias("w"), F.transform(w, lambda x, i: F.xxhash64(x, i)).alias("g"),
+                        _pairs(w).alias("f"))
+
+    def summed(c: Column) -> Column:
+        return F.struct(c.alias("c"), _total(c["f"]).alias("all"), F.aggregate(
+            c["g"], F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x)).alias("places"))
+
+    def of(t: Column) -> Column:
+        w, f = t["c"]["w"], t["c"]["f"]
+        return F.transform(t["c"]["g"], lambda g, i: F.struct(
+            i.alias("i"), t["places"].bitwiseXOR(g).alias("kept"),
+            ((t["all"] + 2 * F.lit(PRIME) - F.get(f, i) - F.get(f, i + 1)
+              + _follow(F.get(w, i - 1), F.get(w, i + 1))) % F.lit(PRIME)).alias("follows")))
 
-    return F.element_at(F.transform(F.array(F.split(line, " ")), of), 1)
+    step = F.array(F.split(line, " "))
+    for body in (coded, summed, of):    # each value is computed once
+        step = F.transform(step, body)
+    return F.element_at(step, 1)
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -155,7 +168,7 @@ def near_classes(some: DataFrame) -> DataFrame:
     swapped = swapped.join(least, "at_place").select("c", "pos", F.col("m.c").alias("c2"),
                                                      F.col("m.pos").alias("pos2"))
     # inserted or deleted: the sequence without a word is the other line
-    follows = F.element_at(F.transform(F.array(F.split("line", " ")), _follows), 1)
+    follows = _total(F.element_at(F.transform(F.array(F.split("line", " ")), _pairs), 1))
     full = some.select(F.col("c").alias("c2"), F.col("pos").alias("pos2"),
                        F.xxhash64(follows, n).alias("without"))
     grown = (v.select("c", "without").join(full, "without").distinct().join(place, "c")
