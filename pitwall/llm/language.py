@@ -4,9 +4,12 @@ Method.  Posterior of a language = text likelihood x declared language x host
 prior, normalised.
 
 * Text: trigrams of letters (UTF-8 bytes, lower case, hashed into ``BUCKETS``)
-  under one smoothed model per language, fitted on a bounded sample of rows
-  that declare it.  Trigrams overlap, so a text counts as ``EVIDENCE``
-  trigrams at most.  The class ``und`` (no known language) spreads evenly.
+  under one model per declared language, however few rows declare it, fitted
+  on a bounded sample of them.  A model is smoothed by ``POOLED`` trigrams of
+  the pooled distribution (all languages alike), so a thin one leans on it.
+  One text gives a model ``ONE_TEXT`` trigrams at most.  Trigrams overlap, so
+  a judged text counts as ``EVIDENCE`` trigrams at most.  The class ``und``
+  (no known language) spreads evenly.
 * Declared language (markup): how often texts that read as language l declare
   d, by grouped aggregation over all rows, smoothed by d's overall share.
 * Host: how often the host's other texts read as l, smoothed by the host's
@@ -18,7 +21,8 @@ A row is rejected (``kept`` false) if ``und`` wins, if no language reaches
 
 Scale.  One scan of the texts writes a few numbers per row; counts are
 pre-aggregated, so a hot host is no hot task; host priors join by key (never
-broadcast by hand).  The driver holds only the model: languages x buckets.
+broadcast by hand).  The driver holds only the model:
+declared languages x buckets, each declared tag being one.
 
 Defined cases: a null or empty text has no text evidence, the rest decides; a
 null declared language or host gives no evidence; without any labelled row
@@ -40,7 +44,8 @@ from pitwall.llm.common import ROW, ensure_python_package, keep_row, query, tabl
 
 BUCKETS = 1 << 14
 SAMPLE = 1500            # labelled rows per language that the text model is fitted on, about
-LEAST_ROWS = 20          # labelled rows that make a language
+POOLED = 8192            # trigrams of the pooled distribution that smooth each language's own
+ONE_TEXT = 1000          # trigrams that a text gives a model at most
 EVIDENCE = 60.0          # trigrams that a text counts as at most
 CONFIDENCE = 0.5
 SMOOTH = 5.0             # rows by which a level of the host chain trusts the one above
@@ -81,29 +86,36 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
     language, chosen by hash, are read."""
     ensure_python_package(rows.sparkSession)
     counts = {r["declared"]: r["n"] for r in rows.where("declared IS NOT NULL AND text IS NOT NULL")
-              .groupBy("declared").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_ROWS).collect()}
+              .groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(set(counts) - {UND}))
     if not languages:
         return None
-    share = F.lit(0)
-    for lang in languages:
-        share = F.when(F.col("declared") == lang, F.lit(int(min(1.0, sample / counts[lang]) * (1 << 20)))).otherwise(share)
+    share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (
+        lang, int(min(1.0, sample / counts[lang]) * (1 << 20)))]), F.col("declared"))
     chosen = rows.where("text IS NOT NULL").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share).select("declared", "text")
+    place = {lang: k for k, lang in enumerate(languages)}
 
     def count(batches):
         total = np.zeros((len(languages), BUCKETS), np.int64)
         for b in batches:
             for lang, text in zip(b.column("declared").to_pylist(), b.column("text").cast(pa.binary())):
-                total[languages.index(lang)] += np.bincount(trigrams(text.as_buffer().to_pybytes()), minlength=BUCKETS)
+                grams = trigrams(text.as_buffer().to_pybytes())
+                # in 1024ths: whole numbers add up alike in any order
+                total[place[lang]] += np.bincount(grams, minlength=BUCKETS) * (
+                    1024 * min(len(grams), ONE_TEXT) // max(1, len(grams)) or 1)
         at = np.argwhere(total)
         yield pa.RecordBatch.from_arrays([pa.array(at[:, 0], pa.int32()), pa.array(at[:, 1], pa.int32()),
                                           pa.array(total[total > 0], pa.int64())], names=["lang", "bucket", "n"])
 
     found = (chosen.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket")
              .agg(F.sum("n").alias("n")).collect())  # languages x BUCKETS at most
-    n = np.full((len(languages), BUCKETS), 0.5)
+    n = np.zeros((len(languages), BUCKETS))
     for lang, bucket, k in found:
-        n[lang, bucket] += k
+        n[lang, bucket] = k / 1024
+    own = n.sum(axis=1, keepdims=True)
+    if not own.any():
+        return None     # labelled texts without a trigram
+    n += POOLED * (n / np.maximum(own, 1.0)).sum(axis=0) / np.count_nonzero(own)
     log_p = np.log((1 - RARE) * n / n.sum(axis=1, keepdims=True) + RARE / BUCKETS)
     und = np.full((1, BUCKETS), -np.log(BUCKETS))
     return TextModel(languages, np.concatenate([log_p, und]).astype(np.float32))
@@ -211,7 +223,8 @@ def identify(rows: DataFrame, model: TextModel | None = None, accepted: tuple[st
     fine = (F.col("language") != UND) & (F.col("posterior") >= confidence)
     if accepted is not None:
         fine = fine & F.col("language").isin(*accepted)
-    return v.withColumn("kept", fine).drop("lo", "best", "prior", "said", "counts", "above", "of", "ll",
+    nothing = (F.col("vote") < 0) & (F.col("tag") == k + 1) & F.col("host_key").isNull()
+    return v.withColumn("kept", fine | nothing).drop("lo", "best", "prior", "said", "counts", "above", "of", "ll",
                                            "vote", "tag", "host_key", "domain", "suffix")
 
 

@@ -280,6 +280,25 @@ def test_language_without_labels_rejects_nothing(edge):
     assert got.columns == edge.columns and got.count() == edge.count()
 
 
+@pytest.mark.parametrize("n", [1, 5, 19])
+def test_language_of_few_rows_is_kept(spark, n):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    few = [r.doc_id for r in docs.where("lang = 'es' AND length(text) > 200").orderBy("doc_id").limit(n).collect()]
+    some = docs.where("lang != 'es'").union(docs.where(docs["doc_id"].isin(few)))
+    found = language.identify(language.document_rows(some, docs["doc_id"])).collect()
+    spanish = [r for r in found if r.declared == "es"]
+    assert len(spanish) == n and all(r.language == "es" and r.kept for r in spanish)
+    others = [r for r in found if r.declared != "es"]
+    assert sum(r.language == r.declared and r.kept for r in others) >= 0.99 * len(others)
+
+
+def test_language_keeps_all_of_a_small_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = language.identify(language.document_rows(docs, docs["doc_id"])).collect()
+    assert sum(r.declared == "es" for r in found) < 20
+    assert all(r.language == "es" and r.kept for r in found if r.declared == "es")
+
+
 def test_language_trains_and_keeps_rows(spark, edge):
     more = edge.unionByName(edge).unionByName(edge).unionByName(edge)
     assert language.reject(more.unionByName(more)).count() <= 8 * edge.count()
