@@ -2,7 +2,8 @@
 
 Method.  Per kind a regular expression proposes spans.  A validator confirms
 them: address parts up to 255, digit counts, the Luhn sum of card numbers, the
-mod-97 remainder of bank account numbers.  The words around a span move its
+mod-97 remainder of bank account numbers (of all ends at a word boundary that
+a proposal has, the one that passes; its country's length first).  The words around a span move its
 score up or down.  The four base kinds are reported whenever they are valid;
 ``iban`` and ``ssn``, which the method adds, need a score of ``THRESHOLD``.
 
@@ -42,12 +43,21 @@ KINDS = {
 BASE = ("email", "ip", "card", "phone")
 STEP = 0.3                                    # what one context word moves
 
+# Characters of a country's account numbers.
+LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 "
+    "YE30").split()}
+
+_ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _ANY = re.compile(r"[0-9@]")
 
@@ -104,10 +114,20 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _accounts(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield m.span()
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, at = m.start(), m.start() + 4
+        # the words behind an account may look like more of it: all ends at a
+        # word boundary are tried, first the country's length, then the longest
+        ends = [(account, end) for end in range(m.end(), start + 14, -1)
+                if text[end - 1] != " " and text[end:end + 1] not in _ALNUM
+                and len(account := text[start:end].replace(" ", "")) >= 15]
+        ends.sort(key=lambda x: len(x[0]) != LENGTHS.get(x[0][:2]))
+        for account, end in ends:
+            if mod97(account):
+                yield start, end
+                at = end
+                break
 
 
 def _numbers(text: str) -> Iterator[tuple[int, int]]:

@@ -352,6 +352,20 @@ def test_pii_validators_context_and_redaction(spark):
     assert pii.redact(docs, pii.scan(docs)).first().text == "é write [email] or call [phone]!"
 
 
+def test_pii_accounts_before_capitals_and_numbers():
+    de, spaced, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    accounts = lambda t: [t[s:e] for k, s, e, _ in pii.find(t) if k == "iban"]
+    for t, want in ((f"{spaced} BIC COBADEFFXXX", [spaced]), (f"{gb} EUR 200", [gb]), (f"{de} 2024-05-01", [de]),
+                    (f"{gb} {de} AND {spaced} 12", [gb, de, spaced]), (f"AB12 3456 {gb} OK", [gb]), (f"{gb} Please", [gb]),
+                    (f"{gb}X EUR 200", []), ("GB83WEST12345698765432 EUR 200", []), (f"IBAN {gb}", [gb])):
+        assert accounts(t) == want, t
+    rnd = random.Random(4)
+    for _ in range(2000):
+        tail = " ".join("".join(rnd.choice("ABCXYZ0123456789") for _ in range(rnd.randint(1, 8))) for _ in range(rnd.randint(1, 5)))
+        assert accounts(f"to {rnd.choice([de, gb, spaced])} {tail}")[:1] in ([de], [gb], [spaced]), tail
+    pii.find("AB12 " * 60_000), pii.find("A1" * 150_000)
+
+
 def test_pii_is_linear_in_long_runs():
     for t in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1" * 150_000, "a@" * 150_000):
         pii.find(t)
