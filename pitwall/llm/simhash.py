@@ -19,11 +19,14 @@ pair, so each block joins the mask in turn (repeated while needed; a full mask
 holds one fingerprint).  Inside a bucket only a spanning forest of the links
 leaves the task, not the pairs.  Components come from alternating star
 contraction over the links, written to the shared folder after every round.
+The nodes are fingerprints, not ids, which may be null or repeated.
 
 Defined cases: a null or empty text, or one without a word, has fingerprint
 zero and links like any other; fewer words than a shingle make one shingle of
 all of them; repeated rows share a component; a null id never is a component's
-smallest while another id is there; an empty table gives an empty result;
+smallest while another id is there, and a component of null ids only has a null
+``component_id``; unlike texts under one id, or without one, are documents of
+their own; an empty table gives an empty result;
 extra columns are ignored by ``near_duplicates`` and kept by ``dedup``.
 """
 
@@ -37,13 +40,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import ensure_python_package, query, table, write_table
+from pitwall.llm.common import ensure_python_package, keep_row, query, table, unpack, write_table
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 BUCKET = 1024                     # fingerprints compared pair by pair at most
-NO_ID = (1 << 63) - 1             # label of a fingerprint that only null ids have
 _PLACE = np.arange(8, dtype=np.uint16) * 256
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
 
@@ -61,18 +63,20 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, payload: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and the ``payload`` columns (longs)."""
+    names = ["doc_id", "fp", *payload]
+
     def run(batches):
         for b in batches:
             out = np.fromiter((fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)
                                for t in b.column("text").cast(pa.binary())), "<u8", b.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(out.view("<i8"))], names=["doc_id", "fp"])
+                [b.column("doc_id"), pa.array(out.view("<i8")), *(b.column(c) for c in payload)], names=names)
 
     ensure_python_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-                       ).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *payload).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -194,30 +198,39 @@ def components(edges: DataFrame) -> DataFrame:
         e = write_table(e, "links")
 
 
+def grouped(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, bucket: int = BUCKET,
+            payload: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp, ``payload``, root (a fingerprint that names the component),
+    component_id (the component's smallest id; null if it has none)."""
+    fps = write_table(fingerprints(docs, shingle, payload), "fingerprints")
+    least = write_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-ids")
+    roots = components(links(least.select("fp", F.col("fp").alias("rep")), radius, bucket))
+    rooted = least.join(roots, least["fp"] == roots["node"], "left").select(
+        F.col("fp").alias("of"), F.coalesce("root", "fp").alias("root"), "least")
+    ids = write_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
+    return fps.join(rooted.drop("least").join(ids, "root"), F.col("fp") == F.col("of")).select(
+        "doc_id", "fp", *payload, "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE,
                     bucket: int = BUCKET) -> DataFrame:
     """doc_id, fp, component_id (the smallest id reachable by links)."""
-    fps = write_table(fingerprints(docs, shingle), "fingerprints")
-    # a label per distinct fingerprint: its smallest id; null ids come last
-    reps = write_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least")).select(
-        "fp", F.coalesce("least", F.lit(NO_ID)).alias("rep")), "fingerprint-reps")
-    roots = components(links(reps, radius, bucket))
-    label = reps.join(roots, reps["rep"] == roots["node"], "left").select(
-        F.col("fp").alias("of"), F.coalesce("root", "rep").alias("component_id"))
-    return fps.join(label, fps["fp"] == label["of"], "left").select(
-        "doc_id", "fp", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
+    return grouped(docs, radius, shingle, bucket).drop("root")
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, that of the smallest id; rows that
-    repeat an id count as one document."""
-    found = write_table(near_duplicates(docs, **options), "components")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["__keep"]), "left_semi")
-    if found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each component, that of the smallest id, then of the
+    smallest text hash; rows that repeat id and text count as one document."""
+    keys = ("__k1", "__k2")    # 96 bits of id and text
+    bits = [x for c in (F.col("doc_id").cast("long"), F.col("text").cast("string")) for x in (c, c.isNull())]
+    key = [F.xxhash64(*bits).alias("__k1"), F.hash(*bits).cast("long").alias("__k2")]
+    found = write_table(grouped(docs.select("doc_id", "text", *key), payload=keys, **options), "components")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = first.groupBy("root").agg(F.min("__k1").alias("__k1"), F.min_by("__k2", "__k1").alias("__k2")).drop("root")
+    kept = docs.select(keep_row(docs), *key).join(keep, [*keys], "left_semi")
+    if not first.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        kept = kept.dropDuplicates([*keys])
+    return unpack(kept, docs)
 
 
 @query("op5_simhash")

@@ -102,6 +102,24 @@ def test_simhash_keeps_one_row_of_each_group(edge):
     assert sorted(ids, key=str) == sorted({c for c in plain_components(prints)}, key=str)
 
 
+def test_simhash_of_null_and_repeated_ids(spark):
+    """Unlike texts stay apart whatever their ids; only copies go."""
+    rnd = random.Random(6)
+    a, b, c, d, e, f = (" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(400)) for _ in range(6))
+    rows = [(5, a), (None, a), (8, b), (None, b), (None, c), (None, c), (None, d), (9, e), (9, f), (9, f), (12, f)]
+    prints = [(i, plain_fingerprint(t)) for i, t in rows]
+    # near, not equal, copies: the null rows link to documents 5 and 8
+    near = [(None, f"{a} more"), (None, f"{b} more")]
+    assert all(0 < (plain_fingerprint(x) ^ plain_fingerprint(t)).bit_count() <= 3 for (_, x), t in zip(near, (a, b)))
+    rows += near
+    prints += [(i, plain_fingerprint(t)) for i, t in near]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(docs).collect())
+    assert got == collections.Counter((i, p, x) for (i, p), x in zip(prints, plain_components(prints)))
+    kept = collections.Counter((r.doc_id, r.text) for r in simhash.dedup(docs).collect())
+    assert kept == collections.Counter([(5, a), (8, b), (None, c), (None, d), (9, e), (9, f)])
+
+
 # --- packing ---------------------------------------------------------------
 
 def check_packed(docs, rows, capacity):
