@@ -22,7 +22,9 @@ of fewer than ``min_words`` words match only exactly.
 
 Defined cases: a null text stays null, an empty one empty; lines without a
 word always stay; lines that tie on (doc_id, line number), as repeated rows
-have, do not remove each other; null ids come first; extra columns are kept;
+have, do not remove each other; null ids come first; every row loses its own
+lines only, also where ids are null or repeated (a row's key is its id and a
+hash of its text); extra columns are kept;
 a document that loses every line stays with what is left ('' or blank lines).
 """
 
@@ -46,11 +48,13 @@ def normal(line: Column) -> Column:
     return F.when(odd, F.array_join(words(line), " ")).otherwise(line)
 
 
-def text_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, at (line number from 0), line (normal): the lines with a word."""
-    return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+def text_lines(docs: DataFrame, *payload: Column) -> DataFrame:
+    """doc_id, payload, at (line number from 0), line (normal): the lines with a word."""
+    own = docs.select("doc_id", *payload, "text")
+    names = own.columns[:-1]
+    return (own.select(*names, F.posexplode(F.split("text", "\n")).alias("at", "line"))
             .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-            .select("doc_id", "at", normal(F.col("line")).alias("line")))
+            .select(*names, "at", normal(F.col("line")).alias("line")))
 
 
 def _class(line: Column) -> Column:
@@ -129,10 +133,11 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 
 def line_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """(c, doc_id, at) of every line, and (c, pos, n, ks) of every class: its
-    earliest line, its size, and its half keys if it is long enough."""
-    lines = text_lines(docs)
-    tags = write_table(lines.select(_class(F.col("line")).alias("c"), "doc_id", "at", F.when(
+    """(c, doc_id, of, at) of every line (``of``: hash of its row's text), and
+    (c, pos, n, ks) of every class: its earliest line, its size, and its half
+    keys if it is long enough."""
+    lines = text_lines(docs, F.xxhash64("text").alias("of"))
+    tags = write_table(lines.select(_class(F.col("line")).alias("c"), "doc_id", "of", "at", F.when(
         _long_enough(F.col("line"), min_words), half_keys(F.col("line"))).alias("ks")), "line-tags")
     classes = tags.groupBy("c").agg(F.min(F.struct("doc_id", "at")).alias("pos"),
                                     F.count(F.lit(1)).alias("n"), F.first("ks").alias("ks"))
@@ -183,7 +188,7 @@ def near_classes(some: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, at, near: the lines that go; ``near`` if no equal line is earlier."""
+    """doc_id, of, at, near: the lines that go; ``near`` if no equal line is earlier."""
     tags, classes = line_classes(docs, min_words)
     near = near_classes(candidates(docs, classes))
     verdict = (classes.select("c", "pos", "n").join(near, "c", "left")
@@ -191,18 +196,19 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                .select("c", "pos", F.col("keeper").isNotNull().alias("near")))
     pos = F.struct("doc_id", "at")
     return (tags.join(verdict, "c").where(F.col("near") | (pos != F.col("pos")))
-            .select("doc_id", "at", (pos == F.col("pos")).alias("near")))
+            .select("doc_id", "of", "at", (pos == F.col("pos")).alias("near")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without their repeated lines (``text`` and, if there is
     one, ``n_chars`` change), plus ``__dropped`` and ``__near`` counts."""
     gone = (dropped_lines(docs.select("doc_id", "text"), min_words)
-            .groupBy("doc_id").agg(F.collect_set("at").alias("ats"), F.size(F.collect_set(
+            .groupBy("doc_id", "of").agg(F.collect_set("at").alias("ats"), F.size(F.collect_set(
                 F.when(F.col("near"), F.col("at")))).cast("long").alias("near")))
-    gone = gone.select(F.col("doc_id").alias("__id"), "ats", "near")
-    d = docs.select(keep_row(docs), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    d = d.join(gone, d["__id"].eqNullSafe(gone["__id"]), "left")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"), "ats", "near")
+    d = docs.select(keep_row(docs), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__of"),
+                    F.col("text").alias("__text"))
+    d = d.join(gone, d["__id"].eqNullSafe(gone["__id"]) & (d["__of"] == gone["__of"]), "left")
     left = F.array_join(F.filter(F.split("__text", "\n"), lambda x, i: ~F.array_contains(
         F.col("ats"), i)), "\n")
     d = d.withColumn("__new", F.when(F.col("ats").isNull(), F.col("__text")).otherwise(left))

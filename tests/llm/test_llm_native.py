@@ -180,6 +180,17 @@ def test_lines_edge(edge):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.collect())
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    common, near_by = "a line that stands in many texts", "a line that stands in several texts"
+    rows = [(None, f"first alone\n{common}\nthird alone"), (None, f"unlike first\n{near_by}\n{common}"),
+            (None, "quite other\nsecond of its own here now\nand a third line"), (None, f"{common}\nnothing else"),
+            (None, f"{common}\nnothing else"), (None, None), (None, ""),
+            (4, f"{near_by}\nfour stays here"), (4, "four stays here\nand four has another text"),
+            (4, "four stays here\nand four has another text"), (7, f"seven\n{common}\nfour stays here")]
+    got = check_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert (None, rows[2][1]) in {(r.doc_id, r.text) for r in got.collect()}
+
+
 def test_lines_edits(spark):
     import random
     rnd = random.Random(3)
