@@ -11,7 +11,7 @@ from pitwall.operators import windows as W
 from pitwall.operators.calibration import apply_calibration, fit_linear_calibration
 from pitwall.operators.clustering import cluster_report
 from pitwall.sources import files as IO
-from conftest import ref_path
+from helpers import ref_path
 
 
 def csv(spark, rel):

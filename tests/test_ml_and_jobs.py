@@ -7,7 +7,7 @@ from pitwall import constants as K
 from pitwall.operators import attribution as AT
 from pitwall.operators import trees as TR
 from pitwall.plans import q_ml
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 SMALL = TR.TreeParams(max_iter=8, max_depth=3, subsample=0.8, seed=3)
 

@@ -3,7 +3,7 @@ import re
 
 from pitwall.sources import rig
 from pitwall.plans.features import race_features
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def plan(df) -> str:
