@@ -11,6 +11,7 @@ from pitwall.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
 )
 from pitwall.llm.common import ORACLES, QUERIES
 
