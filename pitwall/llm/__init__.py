@@ -1,4 +1,4 @@
-"""Training-data preparation: ten operators over the ``documents`` table.
+"""Training-data preparation: thirteen operators over ``documents`` and ``conversations``.
 
 One module per operator; ``queries`` registers the production queries.
 Nothing else in the library imports this package.

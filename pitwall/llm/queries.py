@@ -1,6 +1,7 @@
 """The production queries of this package: id -> callable, id -> oracle SQL."""
 
 from pitwall.llm import (
+    conversations,
     language,
     licenses,
     lines,
@@ -12,6 +13,7 @@ from pitwall.llm import (
     sharding,
     simhash,
     spelling,
+    token_files,
 )
 from pitwall.llm.common import ORACLES, QUERIES
 
