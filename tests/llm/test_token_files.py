@@ -46,7 +46,7 @@ def test_pieces_equal_whole_texts():
 
 
 def test_round_trip_of_documents(spark, sample, folder):
-    tf.write_token_files(sample.repartition(7), folder, file_bytes=100_000)
+    tf.write_token_files(sample.repartition(7), folder, file_bytes=20_000)
     back = tf.read_token_files(spark, folder, ids=True).orderBy("start").collect()
     rows = [(r.doc_id, r.text) for r in sample.collect()]
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in back] == want(rows)
