@@ -1,9 +1,9 @@
 """Aggregations.
 
 All aggregates are built-in Spark aggregate functions, so Spark plans them
-as partial (map-side) + final aggregation.  Exact medians/percentiles keep a
-value->count map per group; ``exact=False`` switches to
-``percentile_approx`` for very high-cardinality groups.
+as partial (map-side) + final aggregation.  Exact medians are selected by
+``quantiles`` (no group's values are held); ``exact=False`` takes the one-scan
+``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -14,16 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions import scalars as S
+from pitwall.operators.quantiles import quantile_groups, quantile_row
 
 
-def _median(c: Column, exact: bool = True) -> Column:
-    return F.median(c) if exact else F.percentile_approx(c, 0.5, 10000)
+def _doubles(cols: Sequence[str]) -> dict[str, Column]:
+    return {c: F.col(f"`{c}`").cast("double") for c in cols}
 
 
 # --------------------------------------------------------------------- A1
 def column_medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """1-row frame of linear-interpolated medians (NULLs skipped), all in one pass."""
-    return df.agg(*[_median(F.col(c).cast("double"), exact).alias(c) for c in cols])
+    """1-row frame of linear-interpolated medians (NULL and NaN skipped)."""
+    if exact:
+        return quantile_row(df, _doubles(cols))
+    return df.agg(*[F.percentile_approx(x, 0.5, 10000).alias(c) for c, x in _doubles(cols).items()])
 
 
 # ----------------------------------------------------------------- A2/A4
@@ -63,8 +66,16 @@ def metrics_by_model(df: DataFrame, model: str = "model", y: str = "y_true",
 # --------------------------------------------------------------------- A5
 def group_medians(df: DataFrame, group: str, cols: Sequence[str], exact: bool = True,
                   count_name: str = "n") -> DataFrame:
-    return df.groupBy(group).agg(F.count(F.lit(1)).alias(count_name),
-                                 *[_median(F.col(c).cast("double"), exact).alias(c) for c in cols])
+    n = F.count(F.lit(1)).alias(count_name)
+    if not exact:
+        return df.groupBy(group).agg(n, *[F.percentile_approx(x, 0.5, 10000).alias(c) for c, x in _doubles(cols).items()])
+    return _with_medians(df.groupBy(group).agg(n), quantile_groups(df, group, _doubles(cols)), group)
+
+
+def _with_medians(groups: DataFrame, medians: DataFrame, group: str) -> DataFrame:
+    """Null-safe left join of per-group medians."""
+    medians = medians.withColumnRenamed(group, "_group")
+    return groups.join(medians, F.col(f"`{group}`").eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 # --------------------------------------------------------------------- A6
@@ -76,9 +87,10 @@ def group_means_coerced(df: DataFrame, group: str, cols: Sequence[str]) -> DataF
 # --------------------------------------------------------------------- A7
 def group_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     v = F.col(value).cast("double")
-    return df.groupBy(group).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.median(v).alias("median"),
-        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    stats = df.groupBy(group).agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
+                                  F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    both = _with_medians(stats, quantile_groups(df, group, {"median": v}), group)
+    return both.select(group, "count", "mean", "median", "std", "min", "max")
 
 
 # ----------------------------------------------------------------- A9/A10

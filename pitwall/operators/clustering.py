@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.functions import scalars as S
+from pitwall.operators.aggregates import group_medians
+from pitwall.operators.quantiles import quantile_row
 from pitwall.session import right_size
 
 CLUSTER_FEATURES = (*K.WEATHER_COLUMNS, *K.TYRES, "WindDir_sin", "WindDir_cos")
@@ -36,8 +38,7 @@ def cluster_inputs(df: DataFrame) -> DataFrame:
     """Numeric coercion with median fill for weather and tyres, wind
     direction as (sin, cos)."""
     cols = [*K.WEATHER_COLUMNS, *K.TYRES]
-    meds = F.broadcast(df.agg(*[F.median(S.safe_number(c, None)).alias(f"_med{i}")
-                                for i, c in enumerate(cols)]))
+    meds = F.broadcast(quantile_row(df, {f"_med{i}": S.safe_number(c, None) for i, c in enumerate(cols)}))
     out = df.crossJoin(meds).withColumns({
         c: F.coalesce(S.safe_number(c, None), F.col(f"_med{i}"), F.lit(0.0)) for i, c in enumerate(cols)})
     out = out.withColumns({"WindDir_sin": S.wind_sin("WindDirection_deg"),
@@ -166,8 +167,7 @@ def pca_centroids(pca_df: DataFrame, cluster: str = "weather_tire_cluster") -> D
 # --------------------------------------------------------- Q5 (A5+P12-P14)
 def cluster_report(labelled: DataFrame, cluster: str = "weather_tire_cluster") -> DataFrame:
     cols = [c for c in (*K.WEATHER_COLUMNS, *K.TYRES) if c in labelled.columns]
-    med = labelled.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
-                                        *[F.median(_bq(c).cast("double")).alias(c) for c in cols])
+    med = group_medians(labelled, cluster, cols)
     tyres = [t for t in K.TYRES if t in cols]
     return med.withColumns({
         "temp_label": S.air_temp_label("AirTemp_C"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall import constants as K
+from pitwall.operators.aggregates import column_medians
 
 
 # --------------------------------------------------------------------- F1
@@ -158,8 +159,7 @@ def fill_absent_from_medians(df: DataFrame, reference: DataFrame,
     if not absent:
         return df
     present_ref = [c for c in absent if c in reference.columns]
-    meds = reference.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(c) for c in present_ref]) \
-        if present_ref else None
+    meds = column_medians(reference, present_ref) if present_ref else None
     out = df.crossJoin(F.broadcast(meds)) if meds is not None else df
     return out.withColumns({c: F.coalesce(F.col(f"`{c}`") if c in present_ref else F.lit(None),
                                           F.lit(0.0)).cast("double") for c in absent})

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.operators.aggregates import regression_metrics
+from pitwall.operators.quantiles import quantile_row
 from pitwall.operators.sampling import assign_folds, entry_id
 from pitwall.session import ensure_checkpoint_dir, right_size
 
@@ -49,7 +50,7 @@ class TreeParams:
 # -------------------------------------------------------------------- P10
 def train_medians(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """1-row frame of exact training medians (A1) — broadcast, never collected."""
-    return train.agg(*[F.median(_bq(c).cast("double")).alias(f"_med{i}") for i, c in enumerate(features)])
+    return quantile_row(train, {f"_med{i}": _bq(c) for i, c in enumerate(features)})
 
 
 def impute(df: DataFrame, medians: DataFrame, features: Sequence[str]) -> DataFrame:

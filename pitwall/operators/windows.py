@@ -4,7 +4,7 @@ Partitioning notes: W1/W4 partition by driver (and season) — a driver has a
 bounded number of races per season.  W5 (race mean) is a group-by + keyed
 join instead of a window, so a hot race is pre-aggregated map-side rather
 than landing whole in one task; the gap to the car ahead is a keyed
-self-join on ``Position - 1``.  W6 uses a global exact percentile (1 row,
+self-join on ``Position - 1``.  W6 uses globally selected exact quantiles (1 row,
 broadcast) instead of an un-partitioned window.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.functions import scalars as S
+from pitwall.operators.quantiles import exact_quantiles
 from pitwall.operators.ranking import row_number_within
 
 
@@ -121,9 +122,8 @@ def race_targets(df: DataFrame, finish: str = "FinishTime_s",
 def tertile_edges(df: DataFrame, value: str) -> DataFrame:
     """1-row frame: min, 1/3 and 2/3 linear-interpolated quantiles, max."""
     v = F.col(value)
-    q = F.percentile(v, F.array(F.lit(1.0 / 3.0), F.lit(2.0 / 3.0)))
-    return df.agg(F.min(v).alias("_e0"), q.alias("_q"), F.max(v).alias("_e3")).select(
-        "_e0", F.col("_q")[0].alias("_e1"), F.col("_q")[1].alias("_e2"), "_e3")
+    e = exact_quantiles(df, {value: v}, [0.0, 1.0 / 3.0, 2.0 / 3.0, 1.0])
+    return e.agg(*[F.max(F.when(F.col("p") == i, F.col("q"))).alias(f"_e{i}") for i in range(4)])
 
 
 def tertile_label(df: DataFrame, value: str, out: str,
