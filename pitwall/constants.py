@@ -66,6 +66,12 @@ LEAKAGE_TARGET_NAMES = ("num__DeviationFromAvg_s", "DeviationFromAvg_s")
 LEAKAGE_IDENTITY_PREFIXES = ("cat__Driver_", "cat__TeamName", "cat__TeamId",
                              "Driver__", "TeamName__", "TeamId__", "Team__")
 
+# --- FIXED VALUES: names left out of summaries ---
+SUMMARY_EXACT = ("num__DeviationFromAvg_s", "DeviationFromAvg_s", "ParsedTime_s", "ParsedTime",
+                 "Position", "DriverNumber", "Laps", "Unnamed: 0", "Round")
+SUMMARY_PREFIXES = ("cat__Driver_", "Driver__", "cat__TeamName", "TeamName__", "cat__TeamId",
+                    "TeamId__", "cat__Team", "Team__", "ClassifiedPosition")
+
 # --- FIXED VALUES: race settings defaults of the interactive app ---
 DEFAULT_SETTINGS = {
     "AirTemp_C": 28.0, "TrackTemp_C": 33.0, "Humidity_%": 55.0,

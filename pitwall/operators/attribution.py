@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,6 +240,22 @@ def shap_matrix(trees, X: np.ndarray) -> tuple[np.ndarray, float]:
     return phi, bias
 
 
+def predict_batch(trees, X: np.ndarray) -> np.ndarray:
+    """Ensemble output of all rows: one step down per level, all rows at once."""
+    out, rows = np.zeros(len(X)), np.arange(len(X))
+    for t in trees:
+        at = np.zeros(len(X), dtype=np.int64)
+        while True:
+            inner = t["left"][at] >= 0
+            if not inner.any():
+                break
+            f = np.where(inner, t["feature"][at], 0)
+            left = X[rows, f] <= t["threshold"][at]
+            at = np.where(inner, np.where(left, t["left"][at], t["right"][at]), at)
+        out += t["weight"] * t["value"][at]
+    return out
+
+
 def shap_matrix_rowwise(trees, X: np.ndarray) -> tuple[np.ndarray, float]:
     """Row-at-a-time reference implementation (used by tests)."""
     fast = [_as_lists(t) for t in trees]
@@ -251,47 +268,83 @@ def shap_matrix_rowwise(trees, X: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 # ------------------------------------------------------------ Spark job M16
-def contributions(model, df: DataFrame, features: Sequence[str], key: Sequence[str] = K.KEY,
-                  check_tol: float = 1e-6) -> DataFrame:
-    """Long ``(key..., feature, contribution)`` incl. a ``bias`` row per key.
-
-    ``df`` must already be imputed (the model's input columns, no NULLs).
-    """
+def contribution_arrays(model, df: DataFrame, features: Sequence[str], keep: Sequence[str] = K.KEY,
+                        check_tol: float = 1e-6) -> DataFrame:
+    """``keep`` columns, ``contributions`` (array in feature order) and
+    ``bias`` per row; ``df`` must already be imputed (no NULLs)."""
     spark = df.sparkSession
     ensure_python_package(spark)
     bc = spark.sparkContext.broadcast(flat_trees(model))
-    feats = list(features)
-    key = list(key)
-    schema_key = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in key}
-    out_schema = ", ".join([f"`{k}` {schema_key[k]}" for k in key] +
-                           ["feature string", "contribution double"])
+    feats, keep = list(features), list(keep)
+    out_schema = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep]
+                           + ["contributions array<double>", "bias double"])
 
     def run(batches):
         trees = bc.value
         for pdf in batches:
             X = pdf[feats].to_numpy(dtype=float)
             phi, bias = shap_matrix(trees, X)
-            pred = np.array([tree_predict(trees, x) for x in X])
+            pred = predict_batch(trees, X)
             if np.any(np.abs(phi.sum(axis=1) + bias - pred) > check_tol * np.maximum(1.0, np.abs(pred))):
                 raise AssertionError("TreeSHAP additivity check failed")
-            n = len(pdf)
-            rep = pdf[key].loc[pdf.index.repeat(len(feats) + 1)].reset_index(drop=True)
-            rep["feature"] = np.tile(np.array(feats + ["bias"], dtype=object), n)
-            rep["contribution"] = np.concatenate([phi, np.full((n, 1), bias)], axis=1).reshape(-1)
-            yield rep
-
-    return df.select(*key, *[F.col(f"`{c}`").cast("double").alias(c) for c in feats]) \
-             .mapInPandas(run, out_schema)
-
-
-def ensemble_contributions(models, df: DataFrame, features, key=K.KEY) -> DataFrame:
-    """A10(b): contributions of every fold model, tagged with ``fold``."""
-    parts = [contributions(m, df, features, key).withColumn("fold", F.lit(i))
-             for i, m in enumerate(models)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            out = pdf[keep].copy()
+            out["contributions"], out["bias"] = list(phi), bias
+            yield out
+
+    rest = [F.col(f"`{c}`").cast("double").alias(c) for c in feats if c not in keep]
+    return df.select(*[F.col(f"`{c}`") for c in keep], *rest).mapInPandas(run, out_schema)
+
+
+def contributions(model, df: DataFrame, features: Sequence[str], key: Sequence[str] = K.KEY,
+                  check_tol: float = 1e-6) -> DataFrame:
+    """Long ``(key..., feature, contribution)`` incl. a ``bias`` row per key."""
+    rows = contribution_arrays(model, df, features, key, check_tol)
+    pairs = F.arrays_zip(F.lit([*features, "bias"]).alias("f"), F.array_append("contributions", F.col("bias")).alias("c"))
+    return rows.select(*key, F.explode(pairs).alias("_p")).select(
+        *key, F.col("_p.f").alias("feature"), F.col("_p.c").alias("contribution"))
+
+
+def top_contributions(rows: DataFrame, features: Sequence[str], keep: Sequence[str], k: int) -> DataFrame:
+    """W7 on ``contribution_arrays``: the ``k`` largest |contribution| of each
+    row (ties by feature name), ranked within the row: no shuffle."""
+    pairs = F.zip_with(F.lit(list(features)), "contributions", lambda f, c: F.struct(
+        (-F.abs(c)).alias("by"), f.alias("feature"), c.alias("contribution")))
+    best = F.slice(F.array_sort(pairs), 1, k)
+    return rows.select(*keep, F.posexplode(best).alias("_i", "_c")).select(
+        *keep, (F.col("_i") + 1).cast("bigint").alias("rank"), "_c.feature", "_c.contribution")
+
+
+def mean_abs_contributions(rows: DataFrame, features: Sequence[str], out: str = "mean_abs_shap") -> DataFrame:
+    """A9 on ``contribution_arrays``."""
+    pairs = F.zip_with(F.lit(list(features)), "contributions", lambda f, c: F.struct(f.alias("f"), F.abs(c).alias("c")))
+    return rows.select(F.explode(pairs).alias("p")).groupBy(F.col("p.f").alias("feature")).agg(F.avg("p.c").alias(out))
+
+
+def ensemble_importance(models, df: DataFrame, features: Sequence[str], fold: str = "fold") -> DataFrame:
+    """A10 over fold contributions: (feature, pooled, per_fold_mean).
+
+    ``pooled``: mean |c| over all (model, row) with the row on the model's
+    training side (``fold`` differs); ``per_fold_mean``: mean over models of
+    the mean |c| on all rows.  One pass: each Arrow batch runs all models and
+    returns sums only, (models x features) rows."""
+    ensure_python_package(df.sparkSession)
+    bc = df.sparkSession.sparkContext.broadcast([flat_trees(m) for m in models])
+    feats = list(features)
+
+    def run(batches):
+        for pdf in batches:
+            X, of = pdf[feats].to_numpy(dtype=float), pdf[fold].to_numpy()
+            for i, trees in enumerate(bc.value):
+                phi = np.abs(shap_matrix(trees, X)[0])
+                side = of != i
+                yield pd.DataFrame({"model": i, "feature": feats, "all_sum": phi.sum(axis=0), "all_n": len(X),
+                                    "side_sum": phi[side].sum(axis=0), "side_n": int(side.sum())})
+
+    sums = (df.select(fold, *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
+            .mapInPandas(run, "model int, feature string, all_sum double, all_n long, side_sum double, side_n long")
+            .groupBy("model", "feature").agg(*[F.sum(c).alias(c) for c in ("all_sum", "all_n", "side_sum", "side_n")]))
+    return sums.groupBy("feature").agg((F.sum("side_sum") / F.sum("side_n")).alias("pooled"),
+                                       F.avg(F.col("all_sum") / F.col("all_n")).alias("per_fold_mean"))
 
 
 # -------------------------------------------------------------------- M17

@@ -44,15 +44,21 @@ def drop_null_target(df: DataFrame, target: str = K.TARGET) -> DataFrame:
 
 
 # --------------------------------------------------------------------- F4
-def drop_lapped(df: DataFrame) -> DataFrame:
+def drop_lapped(df: DataFrame, must_keep: bool = False) -> DataFrame:
     """Keep rows whose Status is not 'Lapped' (NULL Status kept); one-hot
-    fallback ``Status__Lapped`` / ``Status__Lapped.0`` != 1 (NULL kept)."""
+    fallback ``Status__Lapped`` / ``Status__Lapped.0`` != 1 (NULL kept).
+    ``must_keep`` (training, scoring): raises when nothing is left."""
+    kept = df
     if "Status" in df.columns:
-        return df.filter(~F.col("Status").eqNullSafe("Lapped"))
-    for c in ("Status__Lapped", "Status__Lapped.0"):
-        if c in df.columns:
-            return df.filter(~F.col(f"`{c}`").eqNullSafe(1))
-    return df
+        kept = df.filter(~F.col("Status").eqNullSafe("Lapped"))
+    else:
+        for c in ("Status__Lapped", "Status__Lapped.0"):
+            if c in df.columns:
+                kept = df.filter(~F.col(f"`{c}`").eqNullSafe(1))
+                break
+    if must_keep:
+        require_rows(kept, "every entry is lapped")
+    return kept
 
 
 # --------------------------------------------------------------------- F5
@@ -94,6 +100,7 @@ def settings_frame(df: DataFrame, settings: DataFrame, columns: Sequence[str] =
 
 # --------------------------------------------------------------------- F8
 def numeric_columns(df: DataFrame) -> list[str]:
+    """The numeric columns, in schema order."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
@@ -132,12 +139,8 @@ def name_rule_filter(col: str | Column, exact: Sequence[str] = (), prefixes: Seq
 
 
 def summary_name_filter(col: str = "feature") -> Column:
-    return name_rule_filter(
-        col, exact=(*K.LEAKAGE_TARGET_NAMES, "ParsedTime_s", "ParsedTime", "Position",
-                    "DriverNumber", "Laps", "Unnamed: 0", "Round"),
-        prefixes=("cat__Driver_", "Driver__", "cat__TeamName", "TeamName__", "cat__TeamId",
-                  "TeamId__", "cat__Team", "Team__", "ClassifiedPosition"),
-        contains=("DeviationFromAvg",), contains_ci=("time",))
+    return name_rule_filter(col, exact=K.SUMMARY_EXACT, prefixes=K.SUMMARY_PREFIXES,
+                            contains=("DeviationFromAvg",), contains_ci=("time",))
 
 
 # -------------------------------------------------------------------- F11
@@ -146,10 +149,31 @@ def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ V1-V6
+def _missing(df: DataFrame, c: str) -> Column:
+    v = F.col(f"`{c}`")
+    return v.isNull() | F.isnan(v) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else v.isNull()
+
+
+def contract_report(df: DataFrame, contract: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """U4/V1/V6 as a frame, one scan: (column, position, status, n_rows,
+    n_missing) for every contract column (``present`` or ``missing``) and every
+    other one but ``keep`` (``extra``, no position).  ``n_missing`` counts NULL
+    and NaN; a missing column has none of its rows."""
+    want = list(contract)
+    rows = [(c, i, "present" if c in df.columns else "missing") for i, c in enumerate(want)]
+    rows += [(c, None, "extra") for c in df.columns if c not in want and c not in keep]
+    n = F.count(F.lit(1))
+    stats = df.agg(n.alias("n"), *[F.count_if(_missing(df, c) if c in df.columns else F.lit(True)).alias(f"m{i}")
+                                   for i, (c, _, _) in enumerate(rows)])
+    return stats.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(p).cast("int").alias("position"), F.lit(s).alias("status"),
+        F.col("n").alias("n_rows"), F.col(f"m{i}").alias("n_missing")) for i, (c, p, s) in enumerate(rows)])).alias("r")).select("r.*")
+
+
 def missing_column_report(df: DataFrame, expected: Sequence[str] = K.EXPECTED_INPUT_COLUMNS) -> DataFrame:
-    spark = df.sparkSession
-    rows = [(c, c in df.columns) for c in expected]
-    return spark.createDataFrame(rows, "column string, present boolean")
+    """V1: which expected columns are there, and how many of their rows lack a value."""
+    return (contract_report(df.select(*[F.col(f"`{c}`") for c in df.columns if c in expected]), expected)
+            .select("column", (F.col("status") == "present").alias("present"), "n_rows", "n_missing"))
 
 
 def fill_absent_from_medians(df: DataFrame, reference: DataFrame,
@@ -172,11 +196,17 @@ def align_to_contract(df: DataFrame, contract: Sequence[str], keep: Sequence[str
         for c in contract])
 
 
-def assert_contract(df: DataFrame, contract: Sequence[str]) -> None:
-    """V4: strict by name — a missing contract column raises (no pad/truncate)."""
-    missing = [c for c in contract if c not in df.columns]
-    if missing:
-        raise ValueError(f"input does not satisfy the model contract; missing {missing}")
+def assert_contract(columns: DataFrame | Sequence[str], contract: Sequence[str], exact: bool = False) -> None:
+    """V4: strict by name — a missing contract column raises (no pad/truncate).
+    ``exact`` (a model's matrix): so do extra columns and another order."""
+    have = list(columns.columns if isinstance(columns, DataFrame) else columns)
+    missing = [c for c in contract if c not in have]
+    extra = [c for c in have if c not in set(contract)] if exact else []
+    if missing or extra:
+        raise ValueError(f"input does not satisfy the model contract; missing {missing}"
+                         + (f", extra {extra}" if exact else ""))
+    if exact and have != list(contract):
+        raise ValueError(f"the model contract has the same columns in another order: {list(contract)}")
 
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:

@@ -61,15 +61,6 @@ def unpivot_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
              .unpivot(list(ids), list(cols), var, value)
 
 
-# --------------------------------------------------------------------- U4
-def feature_set_report(columns: Sequence[str], contract: Sequence[str]) -> dict:
-    have = set(columns)
-    want = list(contract)
-    return {"present": [c for c in want if c in have],
-            "missing": [c for c in want if c not in have],
-            "extra": [c for c in columns if c not in set(want)]}
-
-
 # --------------------------------------------------------------------- U5
 def flatten_struct(df: DataFrame, struct_col: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*keep, f"{struct_col}.*")

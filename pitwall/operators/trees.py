@@ -19,14 +19,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import IllegalArgumentException
+from pyspark import SparkContext
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall import constants as K
-from pitwall.operators.aggregates import regression_metrics
+from pitwall.operators.filters import assert_contract, require_columns
 from pitwall.operators.quantiles import quantile_row
 from pitwall.operators.sampling import assign_folds, entry_id
 from pitwall.session import ensure_checkpoint_dir, right_size
@@ -53,8 +54,11 @@ def train_medians(train: DataFrame, features: Sequence[str]) -> DataFrame:
     return quantile_row(train, {f"_med{i}": _bq(c) for i, c in enumerate(features)})
 
 
-def impute(df: DataFrame, medians: DataFrame, features: Sequence[str]) -> DataFrame:
+def impute(df: DataFrame, medians: DataFrame | None, features: Sequence[str]) -> DataFrame:
     """Fill NULL/NaN features with the training medians (then 0)."""
+    if medians is None:
+        return df.withColumns({c: F.coalesce(F.nanvl(_bq(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
+                               for c in features})
     out = df.crossJoin(F.broadcast(medians))
     out = out.withColumns({c: F.coalesce(F.nanvl(_bq(c).cast("double"), F.lit(None).cast("double")),
                                          F.col(f"_med{i}"), F.lit(0.0)) for i, c in enumerate(features)})
@@ -99,16 +103,41 @@ def patience_argmin(errors: Sequence[float], patience: int) -> int:
     return best_i + 1
 
 
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The ensemble of a fitted model's first ``n`` trees (boosting is
+    sequential, so it is what ``n`` rounds would have fitted)."""
+    sc = SparkContext._active_spark_context
+    package = sc._jvm.org.apache.spark.ml.regression
+    trees, weights = model._java_obj.trees(), model.treeWeights
+    kept, at = sc._gateway.new_array(package.DecisionTreeRegressionModel, n), sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        kept[i], at[i] = trees[i], float(weights[i])
+    cut = package.GBTRegressionModel(f"{model.uid}_{n}", kept, at, model.numFeatures)
+    model._java_obj.copyValues(cut, sc._jvm.org.apache.spark.ml.param.ParamMap())
+    out = GBTRegressionModel(cut)
+    out._resetUid(cut.uid())
+    out._transfer_params_from_java()
+    return out
+
+
+def stopped(errors: Sequence[float], patience: int) -> bool:
+    """Whether ``patience`` rounds have passed since the best one."""
+    return len(errors) - patience_argmin(errors, patience) >= patience
+
+
 def early_stopped(vec_train: DataFrame, vec_val: DataFrame, params: TreeParams,
-                  patience: int = 20, label: str = K.TARGET):
-    """Fit ``max_iter`` rounds once, read the validation curve with
-    ``evaluateEachIteration`` and refit with the chosen number of rounds
-    (same seed, so the first trees are identical)."""
-    full = fit_gbt(vec_train, params, label)
-    curve = full.evaluateEachIteration(vec_val, "squared")
+                  patience: int = 20, label: str = K.TARGET, most: int = 1024):
+    """Fit ``params.max_iter`` rounds, twice as many, ... until ``patience``
+    rounds pass without a better validation error (``most`` rounds at most);
+    the chosen first trees are cut from that fit, nothing is fitted again."""
+    while True:
+        full = fit_gbt(vec_train, params, label)
+        curve = full.evaluateEachIteration(vec_val, "squared")
+        if stopped(curve, patience) or params.max_iter >= most:
+            break
+        params = replace(params, max_iter=min(2 * params.max_iter, most))
     rounds = patience_argmin(curve, patience)
-    model = full if rounds == params.max_iter else fit_gbt(vec_train, replace(params, max_iter=rounds), label)
-    return model, rounds, [float(c) for c in curve]
+    return first_trees(full, rounds), rounds, [float(c) for c in curve]
 
 
 # --------------------------------------------------------------- M9-M12
@@ -205,36 +234,44 @@ def _trial_frame(spark, res, metric: str, rounds: str) -> DataFrame:
                                        f"seed int, {metric} double, {rounds} int")
 
 
-def params_from_row(row) -> TreeParams:
-    return TreeParams(step_size=row["eta"], max_depth=row["max_depth"], subsample=row["subsample"],
+def params_from_row(row, rounds: str = "best_rounds") -> TreeParams:
+    """The parameters of a trials row (A13's best one) and the rounds it chose."""
+    return TreeParams(max_iter=row[rounds], step_size=row["eta"], max_depth=row["max_depth"], subsample=row["subsample"],
                       col_sample=row["colsample"], min_info_gain=row["gamma"], seed=row["seed"])
 
 
 # -------------------------------------------------------------------- M13
 @dataclass
 class Ensemble:
+    """Fold models with what scoring needs: ordered features, training
+    medians, the label's name and, once fitted, their calibrator."""
+
     models: list
     features: tuple
-    medians: DataFrame
-
-    def predict_long(self, df: DataFrame, key: Sequence[str] = K.KEY) -> DataFrame:
-        """Long ``(key, fold, prediction)`` of every fold model."""
-        vec = assemble(impute(df, self.medians, self.features), self.features)
-        parts = [predict(m, vec).select(*key, F.lit(i).alias("fold"), "prediction")
-                 for i, m in enumerate(self.models)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def predict_mean(self, df: DataFrame, key: Sequence[str] = K.KEY, out: str = "y_pred") -> DataFrame:
-        """Mean over fold models (one vectorised pass, no union)."""
-        vec = assemble(impute(df, self.medians, self.features), self.features)
+    medians: DataFrame | None
+    label: str = K.TARGET
+    calibrator: DataFrame | None = None
+    folder: str | None = None      # the bundle version it was loaded from
+
+    def inputs(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """V4/V5/V6: ``keep`` and the features by name, imputed; a missing
+        feature raises, whatever the width of ``df``."""
+        assert_contract(df, self.features)
+        require_columns(df, keep)
+        kept = [c for c in keep if c not in self.features]
+        rows = df.select(*[_bq(c) for c in (*kept, *self.features)])
+        assert_contract([c for c in rows.columns if c not in kept], self.features, exact=True)
+        return impute(rows, self.medians, self.features)
+
+    def predict_mean(self, df: DataFrame, keep: Sequence[str] = K.KEY, out: str = "y_pred") -> DataFrame:
+        """Mean over fold models (one vectorised pass, no union);
+        ``keep`` columns (key, truth) travel along."""
+        vec = assemble(self.inputs(df, keep), self.features)
         cols = []
         for i, m in enumerate(self.models):
             vec = m.transform(vec).withColumnRenamed(m.getPredictionCol(), f"_p{i}")
             cols.append(F.col(f"_p{i}"))
-        return vec.select(*key, (sum(cols[1:], cols[0]) / len(cols)).alias(out))
+        return vec.select(*[_bq(c) for c in keep], (sum(cols[1:], cols[0]) / len(cols)).alias(out))
 
 
 def oof_ensemble(train: DataFrame, features: Sequence[str], params: TreeParams, k: int = 5,
@@ -257,7 +294,7 @@ def oof_ensemble(train: DataFrame, features: Sequence[str], params: TreeParams,
     oof = res[0][1]
     for _, h in res[1:]:
         oof = oof.unionByName(h)
-    return Ensemble([m for m, _ in res], features, medians), oof
+    return Ensemble([m for m, _ in res], features, medians, label), oof
 
 
 # -------------------------------------------------------------------- M15
@@ -290,7 +327,3 @@ def param_table(spark, named_models: dict) -> DataFrame:
         for p, v in m.extractParamMap().items():
             rows.append((name, type(m).__name__, p.name, str(v)))
     return spark.createDataFrame(rows, "model string, type string, param string, value string")
-
-
-def metrics_of(pred: DataFrame, label: str, pred_col: str = "prediction") -> DataFrame:
-    return regression_metrics(pred, label, pred_col)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pitwall import constants as K
 from pitwall.oracles import features_ctes, p2_sql
 from pitwall.plans.common import (KEYS, MODELS_SQL, TEST, VAL, feat, linear_models, linear_preds,
                                   preds_sql, round_doubles)
@@ -94,7 +95,8 @@ def s5(spark, sf):
     return IO.manifest(spark, f"{folder}/entries.csv/*/*.csv")
 
 
-@query("K2_backup_once")
+@query("K2_backup_once", sql=FEAT + """
+SELECT Season, Round, DriverNumber, round(PointsProp, 6) AS PointsProp FROM feat""")
 def k2(spark, sf):
     """The first write wins; a second backup of different data is ignored."""
     path = IO.run_folder(spark, "k2") + "/premodel.bak"
@@ -104,7 +106,7 @@ def k2(spark, sf):
     return round_doubles(spark.read.parquet(path))
 
 
-@query("K3_json_summary_sink")
+@query("K3_json_summary_sink", sql=FEAT + f", {MODELS_SQL}, {preds_sql()} " + _metrics_sql())
 def k3(spark, sf):
     path = IO.run_folder(spark, "k3") + "/metrics.json"
     IO.write_json_summary(A.metrics_by_model(linear_preds(feat(spark, sf))), path)
@@ -141,8 +143,14 @@ def k1(spark, sf):
                                      "PointsProp"))
 
 
-@query("V1_missing_column_report")
+_V1_ABSENT = ("weather_tire_cluster",)     # made by the clustering, not by the feature table
+
+
+@query("V1_missing_column_report", sql=FEAT + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c not in _V1_ABSENT} AS present, COUNT(*) AS n_rows, "
+    f"COUNT(*) FILTER ({'TRUE' if c in _V1_ABSENT else c + ' IS NULL'}) AS n_missing FROM feat"
+    for c in K.EXPECTED_INPUT_COLUMNS))
 def v1(spark, sf):
-    """Expected minimal-input columns vs the columns the feature table has."""
+    """Expected minimal-input columns: is the column there, how many of its rows lack a value."""
     from pitwall.operators.filters import missing_column_report
     return missing_column_report(feat(spark, sf))

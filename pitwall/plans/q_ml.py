@@ -18,6 +18,7 @@ from pitwall.operators import clustering as CL
 from pitwall.operators import filters as FL
 from pitwall.operators import trees as TR
 from pitwall.operators import windows as W
+from pitwall.operators.bundle import load_bundle, save_bundle
 from pitwall.operators.calibration import apply_calibration, calibrated_metrics, fit_linear_calibration
 from pitwall.operators.joins import attach_labels, map_rare_join
 from pitwall.operators.sampling import entry_id, top_k
@@ -25,6 +26,7 @@ from pitwall.oracles import features_ctes
 from pitwall.plans.common import KEY_SQL, KEYS, RULE_CLUSTER_SQL, TEST, TRAIN, VAL, feat, q, round_doubles, rule_cluster
 from pitwall.plans.features import features_memo
 from pitwall.plans.registry import query
+from pitwall.sources import files as IO
 
 FEAT_SQL = features_ctes("nation")
 K_CLUSTERS = 6
@@ -183,8 +185,7 @@ def m7(spark, sf):
 @query("M8_early_stopping_curve")
 def m8(spark, sf):
     vtr, vva, _, _ = vectors(spark, sf)
-    p = replace(PARAMS, max_iter=60)
-    model, rounds, curve = TR.early_stopped(vtr, vva, p, patience=20)
+    model, rounds, curve = TR.early_stopped(vtr, vva, PARAMS, patience=20)
     rows = [(i + 1, float(c) ** 0.5, i + 1 == rounds) for i, c in enumerate(curve)]
     return spark.createDataFrame(rows, "iteration int, val_rmse double, chosen boolean")
 
@@ -202,16 +203,20 @@ def _cv_vectors(spark, sf):
     return assign_folds(vtr.withColumn("_eid", entry_id()), F.col("_eid"), 3, 42)
 
 
+def cv_trials(spark, sf):
+    """The searched trials, once per application; the training run takes the best."""
+    return features_memo(("trials", spark.sparkContext.applicationId, sf), lambda: TR.random_search_cv(
+        _cv_vectors(spark, sf), TR.draw_trials(3, 7, TR.SEARCH_SPACE), k=3, patience=50))
+
+
 @query("M10_random_search_cv")
 def m10(spark, sf):
-    trials = TR.draw_trials(3, 7, TR.SEARCH_SPACE)
-    return TR.random_search_cv(_cv_vectors(spark, sf), trials, k=3, patience=50)
+    return cv_trials(spark, sf)
 
 
 @query("A13_best_cv_trial")
 def a13b(spark, sf):
-    trials = TR.random_search_cv(_cv_vectors(spark, sf), TR.draw_trials(3, 7, TR.SEARCH_SPACE), k=3)
-    return A.best_row(trials, "cv_rmse", "trial")
+    return A.best_row(cv_trials(spark, sf), "cv_rmse", "trial")
 
 
 @query("M12_cv_rounds_refit")
@@ -226,12 +231,41 @@ def m12(spark, sf):
                          .withColumn("rounds", F.lit(rounds)))
 
 
-def _ensemble(spark, sf):
+TRUTH = [*KEYS, K.TARGET]
+
+
+def training_run(spark, sf):
+    """The training run, once per application: lapped entries out (F4), the
+    best trial's parameters (A13), out-of-fold ensemble (M13), calibrator
+    fitted on validation (C1), everything stored as a bundle (K4).  Returns
+    (places to look for the bundle, out-of-fold predictions)."""
+    from pitwall.session import write_table
+
     def build():
-        train, val, test = splits(spark, sf)
-        ens, oof = TR.oof_ensemble(train, FEATURES, PARAMS, k=FOLDS, seed=42)
-        return ens, oof
-    return features_memo(("ensemble", spark.sparkContext.applicationId, sf), build)
+        train, val, _ = (FL.drop_lapped(d, must_keep=True) for d in splits(spark, sf))
+        best = A.best_row(cv_trials(spark, sf), "cv_rmse", "trial").first()
+        params = TR.params_from_row(best) if best["trial"] else PARAMS
+        ens, oof = TR.oof_ensemble(train, FEATURES, params, k=FOLDS, seed=42)
+        ens.calibrator = fit_linear_calibration(ens.predict_mean(val, TRUTH), y=K.TARGET)
+        root = IO.run_folder(spark, "bundles")
+        save_bundle(ens, f"{root}/remove_lapped")
+        return [f"{root}/remove_lapped", f"{root}/all_rows", f"{root}/single"], write_table(oof, "oof")
+
+    return features_memo(("training", spark.sparkContext.applicationId, sf), build)
+
+
+def _ensemble(spark, sf):
+    """The stored ensemble, loaded from its bundle, and its out-of-fold rows."""
+    places, oof = training_run(spark, sf)
+    ens = features_memo(("bundle", spark.sparkContext.applicationId, sf), lambda: load_bundle(spark, places))
+    return ens, oof
+
+
+def _scored(spark, sf, which: int):
+    """Raw and calibrated predictions with truth of a season split's entries that are not lapped."""
+    ens, _ = _ensemble(spark, sf)
+    rows = FL.drop_lapped(splits(spark, sf)[which], must_keep=True)
+    return apply_calibration(ens.predict_mean(rows, TRUTH), ens.calibrator).withColumnRenamed(K.TARGET, "y_true")
 
 
 @query("M13_oof_ensemble")
@@ -242,9 +276,7 @@ def m13(spark, sf):
 
 @query("M14_ensemble_average")
 def m14(spark, sf):
-    ens, _ = _ensemble(spark, sf)
-    _, val, _ = splits(spark, sf)
-    return round_doubles(ens.predict_mean(val))
+    return round_doubles(_scored(spark, sf, 1).select(*KEYS, "y_pred"))
 
 
 @query("M15_categorical_pipeline")
@@ -306,50 +338,87 @@ def m19(spark, sf):
 # ======================================================== composite jobs
 @query("Q2_batch_scoring")
 def q2(spark, sf):
-    """Score the test season with the fold ensemble: normalise, drop lapped,
-    contract-align, mean over folds, calibrate (fit on validation), metrics
-    calibrated vs uncalibrated where truth exists."""
+    """Score the test season from the stored bundle: normalise, drop lapped,
+    contract report (U4/V1/V6), mean over folds, the bundle's own calibrator;
+    metrics calibrated vs uncalibrated where truth exists."""
     ens, _ = _ensemble(spark, sf)
-    _, val, _ = splits(spark, sf)
-    t = ml_table(spark, sf).filter(F.col("Season") == TEST)
+    inp = _scoring_input(spark, sf)
+    report = FL.contract_report(inp, ens.features, keep=[*TRUTH, "Status"]).agg(
+        *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("present", "missing", "extra")],
+        F.sum(F.when(F.col("status") == "present", F.col("n_missing"))).alias("n_null_inputs"))
+    scored = apply_calibration(ens.predict_mean(inp, TRUTH), ens.calibrator).withColumnRenamed(K.TARGET, "y_true")
+    return round_doubles(calibrated_metrics(scored).crossJoin(F.broadcast(report)))   # one row
+
+
+def _scoring_input(spark, sf):
     from pitwall.plans.features import normalize_minimal
-    inp = FL.align_to_contract(FL.drop_lapped(normalize_minimal(t)), FEATURES,
-                               keep=[*KEYS, K.TARGET])
-    cal = fit_linear_calibration(ens.predict_mean(val).join(val.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS))
-    scored = apply_calibration(ens.predict_mean(inp).join(
-        inp.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS), cal)
-    return round_doubles(calibrated_metrics(scored))
+    return FL.drop_lapped(normalize_minimal(ml_table(spark, sf).filter(F.col("Season") == TEST)), must_keep=True)
+
+
+_U4_IN = (*KEYS, "GridPosition", "AvgQualiTime", "SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "races_prior_this_season",
+          "Rain", "PointsProp", "Status", "Q1")
+
+
+@query("U4_contract_report", sql=FEAT_SQL + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({'NULL' if i is None else i} AS INTEGER) AS position, '{s}' AS status, COUNT(*) AS n_rows, "
+    f"COUNT(*) FILTER ({'TRUE' if s == 'missing' else c + ' IS NULL'}) AS n_missing FROM feat"
+    for c, i, s in [(c, i, "present" if c in _U4_IN else "missing") for i, c in enumerate(FEATURES)]
+    + [(c, None, "extra") for c in _U4_IN if c not in FEATURES and c not in KEYS]))
+def u4(spark, sf):
+    """The entry table against the model contract: two features lack, two columns are extra."""
+    return FL.contract_report(feat(spark, sf).select(*_U4_IN), FEATURES, keep=KEYS)
 
 
 @query("Q3_ensemble_training")
 def q3(spark, sf):
-    """OOF / validation / test metrics of the fold ensemble + calibrated test."""
+    """Report of the stored training run, (section, name, measure, value):
+    out-of-fold / validation / test / calibrated test metrics, both ensemble
+    importances (A10) and the validation tertile table (A11)."""
     ens, oof = _ensemble(spark, sf)
-    _, val, test = splits(spark, sf)
-
-    def with_truth(df, p):
-        return p.join(df.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS)
-
-    pv, pt = with_truth(val, ens.predict_mean(val)), with_truth(test, ens.predict_mean(test))
-    cal = fit_linear_calibration(pv)
-    ptc = apply_calibration(pt, cal).select("y_true", F.col("y_pred_cal").alias("y_pred"))
-    parts = [A.regression_metrics(oof, "y_true", "y_oof").withColumn("set", F.lit("oof")),
-             A.regression_metrics(pv).withColumn("set", F.lit("val")),
-             A.regression_metrics(pt).withColumn("set", F.lit("test")),
-             A.regression_metrics(ptc).withColumn("set", F.lit("test_calibrated"))]
-    out = parts[0]
+    pv, pt = _scored(spark, sf, 1), _scored(spark, sf, 2)
+    parts = [A.regression_metrics(oof, "y_true", "y_oof").withColumn("name", F.lit("oof")),
+             A.regression_metrics(pv).withColumn("name", F.lit("val")),
+             A.regression_metrics(pt).withColumn("name", F.lit("test")),
+             A.regression_metrics(pt, p="y_pred_cal").withColumn("name", F.lit("test_calibrated"))]
+    met = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return round_doubles(out.select("set", "rmse", "mae", "r2", "n"))
+        met = met.unionByName(p)
+
+    def long(df, section, measures):
+        return df.select(F.lit(section).alias("section"), F.col("name").cast("string").alias("name"), *[
+            F.col(m).cast("double").alias(m) for m in measures]).unpivot(
+            ["section", "name"], list(measures), "measure", "value")
+
+    imp = fold_importance(spark, sf).withColumnRenamed("feature", "name")
+    tab = tertile_table(spark, sf).withColumnRenamed("t_true", "name")
+    return round_doubles(long(met, "metrics", ("rmse", "mae", "r2", "n"))
+                         .unionByName(long(imp, "importance", ("pooled", "per_fold_mean")))
+                         .unionByName(long(tab, "tertiles", K.TERTILE_LABELS)))
+
+
+def fold_importance(spark, sf):
+    ens, oof = _ensemble(spark, sf)
+    train = FL.drop_lapped(splits(spark, sf)[0]).join(oof.select(*KEYS, "fold"), KEYS)
+    rows = ens.inputs(train, ["fold"])
+    return AT.ensemble_importance(ens.models, rows, ens.features)
+
+
+@query("A10_fold_importance")
+def a10b(spark, sf):
+    """Both variants over the fold models' TreeSHAP contributions."""
+    return round_doubles(fold_importance(spark, sf))
+
+
+def tertile_table(spark, sf):
+    from pitwall.session import write_table
+    p = write_table(_scored(spark, sf, 1).select("y_true", "y_pred"), "val_scored")
+    lab = W.tertile_label(W.tertile_label(p, "y_true", "t_true"), "y_pred", "t_pred")
+    return A.contingency(lab, "t_true", "t_pred", K.TERTILE_LABELS, row_name="t_true")
 
 
 @query("A11_ensemble_tertile_crosstab")
 def a11b(spark, sf):
-    ens, _ = _ensemble(spark, sf)
-    _, val, _ = splits(spark, sf)
-    p = ens.predict_mean(val).join(val.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS)
-    lab = W.tertile_label(W.tertile_label(p, "y_true", "t_true"), "y_pred", "t_pred")
-    return A.contingency(lab, "t_true", "t_pred", K.TERTILE_LABELS)
+    return tertile_table(spark, sf).withColumnRenamed("t_true", "row_0")
 
 
 @query("Q6_model_comparison_report")
@@ -362,19 +431,22 @@ def q6(spark, sf):
 
 @query("Q7_attribution_report")
 def q7(spark, sf):
-    """Global top-10 mean |contribution| (A9/T2) joined with per-row top-3
-    contributions (W7) and y_true / y_pred (J3) for the validation season."""
+    """Global top-10 mean |contribution| (A9/T2) with every entry's ten largest
+    contributions (W7/U3), feature values (J9), y_true and y_pred (J3), over
+    all seasons."""
+    from pitwall.session import write_table
     _, _, _, med = vectors(spark, sf)
     model = base_model(spark, sf)
-    _, val, _ = splits(spark, sf)
-    vi = TR.impute(val, med, FEATURES)
-    contrib = AT.contributions(model, vi, FEATURES).filter(F.col("feature") != "bias")
-    contrib = contrib.cache()
-    glob = top_k(A.mean_abs_by_feature(contrib), 10, "mean_abs_shap", "feature")
-    local = W.top_k_per_row(contrib, KEYS, 3)
-    pred = TR.predict(model, TR.assemble(vi, FEATURES)).select(*KEYS, F.col(K.TARGET).alias("y_true"),
-                                                                F.col("prediction").alias("y_pred"))
-    return round_doubles(local.join(pred, KEYS).join(glob, "feature", "left"))
+    rows = TR.impute(FL.drop_null_target(ml_table(spark, sf)), med, FEATURES)
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in FEATURES])
+    rows = TR.predict(model, TR.assemble(rows.withColumn("values", values), FEATURES)).withColumnRenamed("prediction", "y_pred")
+    keep = [*KEYS, K.TARGET, "y_pred", "values"]
+    contrib = write_table(AT.contribution_arrays(model, rows, FEATURES, keep), "contributions")
+    glob = top_k(AT.mean_abs_contributions(contrib, FEATURES), 10, "mean_abs_shap", "feature")
+    local = AT.top_contributions(contrib, FEATURES, keep, 10)
+    value = F.element_at("values", F.array_position(F.lit(list(FEATURES)), F.col("feature")).cast("int"))
+    local = local.select(*KEYS, F.col(K.TARGET).alias("y_true"), "y_pred", "rank", "feature", value.alias("value"), "contribution")
+    return round_doubles(local.join(F.broadcast(glob), "feature", "left"))   # ten rows
 
 
 M11_SPACE = {
@@ -400,9 +472,9 @@ def q1_ensemble(spark, sf):
     grid (names P2, lap times P1/P3, text grid position P21) -> PointsProp
     from prior rounds with per-driver overrides (W1 + J8, default 0.5) ->
     race-day settings frame (F7 with tyre one-hot P16) -> normalisation
-    (P6/P8) -> drop lapped (F4) -> fold-ensemble mean (M7/A12) ->
-    calibration fitted on validation (C1/C2) -> rank per race (W3) ->
-    podium flag (T3).
+    (P6/P8) -> drop lapped (F4) -> mean of the stored bundle's fold models
+    (S6/V4/M7/A12) -> its calibrator (C2) -> rank per race (W3) -> podium
+    flag (T3).
     """
     from pitwall.functions import scalars as S
     from pitwall.operators.joins import override_values
@@ -424,11 +496,8 @@ def q1_ensemble(spark, sf):
                  .withColumn("weather_tire_cluster", F.col("_wc")).drop("_wc")
     inp = FL.drop_lapped(normalize_minimal(frame))
     ens, _ = _ensemble(spark, sf)
-    _, val, _ = splits(spark, sf)
-    cal = fit_linear_calibration(ens.predict_mean(val).join(
-        val.select(*KEYS, F.col(K.TARGET).alias("y_true")), KEYS))
-    scored = apply_calibration(ens.predict_mean(inp), cal, p="y_pred", out="PredictedDeviation")
+    scored = apply_calibration(ens.predict_mean(inp, [*KEYS, "Driver", "Team", "GridPosition"]), ens.calibrator,
+                               p="y_pred", out="PredictedDeviation")
     ranked = W.rank_predictions(scored, "PredictedDeviation")
-    out = ranked.join(inp.select(*KEYS, "Driver", "Team", "GridPosition"), KEYS)
-    return round_doubles(out.select(*KEYS, "Driver", "Team", "GridPosition", "PredictedDeviation",
+    return round_doubles(ranked.select(*KEYS, "Driver", "Team", "GridPosition", "PredictedDeviation",
                                     "PredictedPosition", (F.col("PredictedPosition") <= 3).alias("podium")))

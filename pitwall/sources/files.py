@@ -22,6 +22,40 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/artifacts/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# ------------------------------------------------- metadata on the shared store
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the store that Spark would use for ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str | None:
+    """The first of the ordered paths that exists."""
+    for path in candidates:
+        fs, p = hadoop_path(spark, path)
+        if fs.exists(p):
+            return path
+    return None
+
+
+def write_file_text(spark: SparkSession, path: str, text: str) -> str:
+    """A small text as one file (contracts, markers)."""
+    fs, p = hadoop_path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return path
+
+
+def file_text(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 # --------------------------------------------------------------------- S1
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Header CSV; explicit schema when known (no inference pass); empty
@@ -48,12 +82,6 @@ def read_category_map(spark: SparkSession, path: str, whole_file: bool = False)
              .select("column", F.explode("values").alias("value")))
 
 
-def read_feature_list(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.posexplode(F.from_json("value", T.ArrayType(T.StringType())))
-                      .alias("position", "feature"))
-
-
 # --------------------------------------------------------------------- S3
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Glob on the Hadoop file system (metadata only)."""
@@ -134,8 +162,3 @@ def write_category_map(rare_long: DataFrame, path: str, values_per_line: int = 1
     per_line.select(F.to_json(F.create_map(F.col("column"), F.col("values"))).alias("value")) \
         .write.mode("overwrite").text(path)
     return path
-
-
-def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
