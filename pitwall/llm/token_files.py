@@ -21,8 +21,9 @@ files that the index names count, so lost executors and second attempts leave
 unread files behind, never wrong ones.
 
 Tokens.  The library encodes pieces, not texts: a space that follows no white
-space always starts a pre-token, so a text may be cut there, and each worker
-keeps the ids of the pieces it has met.  Texts in which a cut would part white
+space always starts a pre-token and a letter before another kind of character
+always ends one, so a text may be cut there, and each worker keeps the ids of
+the pieces it has met.  Texts in which a cut would part white
 space, or that spell a special token, are encoded whole.
 
 Scale.  Rows are range-partitioned by (doc_id, text hash, row): one hot or
@@ -71,6 +72,7 @@ READ_BYTES = 8 << 20      # read at once, or one document if that is longer
 TASK_BYTES = 32 << 20     # of frames a reading task
 SLICE = 6 << 20           # bytes of text encoded at once in a worker
 KNOWN = 1_000_000         # pieces whose ids a worker keeps at most
+JOINED = 64               # pieces that the library encodes as one text
 MAGIC = b"PWTOK1\0"
 SPECIAL = "<|endoftext|>"
 
@@ -78,6 +80,10 @@ _BLANK = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}
 # A space inside white space, or white space that ends in a space at the end:
 # cut there, the parts would be other pre-tokens than the whole.
 _UNCUT = rf"{_BLANK} (?:{_BLANK}|\z)|\x00|<\|endoftext\|>"
+# Other places where a pre-token always ends: between a letter and what is no
+# letter, around a line end before a letter.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ž]"
+_CUTS = ((rf"({_LETTER})([!-@\[-`{{-~\n])", "\\1\x00\\2"), (rf"\n({_LETTER})", "\x00\n\x00\\1"))
 
 
 class PieceEncoder:
@@ -86,6 +92,7 @@ class PieceEncoder:
     def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer, self.known = Tokenizer.from_file(path), known
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.special = self.tokenizer.token_to_id(SPECIAL)
         self._forget()
 
     def _forget(self) -> None:
@@ -96,19 +103,24 @@ class PieceEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        got = self._encode(pieces)
+        # many pieces a call, parted by the special token, which none of them holds
+        texts = [SPECIAL.join(pieces[a:a + JOINED]) + SPECIAL for a in range(0, len(pieces), JOINED)]
+        got = np.concatenate([np.array(ids, np.int64) for ids in self._encode(texts)])
+        ends = np.flatnonzero(got == self.special)
         n = len(self.number)
         self.number.update(zip(pieces, range(n, n + len(pieces))))
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        self.ids = np.concatenate([self.ids, np.array([x for ids in got for x in ids], self.ids.dtype)])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.ids = np.concatenate([self.ids, got[got != self.special].astype(self.ids.dtype)])
+        self.start = np.concatenate([self.start, self.start[-1] + ends - np.arange(len(pieces))])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         uncut = pc.match_substring_regex(texts, _UNCUT)
-        split = pc.split_pattern(pc.replace_substring(pc.if_else(uncut, "", texts), " ", "\x00 "), "\x00")
+        marked = pc.replace_substring(pc.if_else(uncut, "", texts), " ", "\x00 ")
+        for place, mark in _CUTS:
+            marked = pc.replace_substring_regex(marked, place, mark)
+        split = pc.split_pattern(marked, "\x00")
         coded = split.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > self.known:
             self._forget()
         missing = [p for p in pieces if p not in self.number]
