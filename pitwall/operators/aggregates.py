@@ -136,9 +136,17 @@ def best_row(df: DataFrame, metric: str, tiebreak: str) -> DataFrame:
 
 # -------------------------------------------------------------------- A15
 def distinct_and_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: number of distinct non-null values and non-null count."""
-    return df.agg(*[F.count_distinct(F.col(c)).alias(f"{c}__distinct") for c in cols],
-                  *[F.count(F.col(c)).alias(f"{c}__nonnull") for c in cols])
+    """Per column: number of distinct non-null values and non-null count.
+
+    Each column is grouped by value on its own (its pruned scan, distinct
+    values combined map-side) and gives one row; ``count(DISTINCT a), count(
+    DISTINCT b)`` in one aggregate would copy every row once per column."""
+    out = None
+    for c in cols:
+        one = df.select(F.col(f"`{c}`").alias("v")).groupBy("v").agg(F.count("v").alias("n")).agg(
+            F.count("v").alias(f"{c}__distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias(f"{c}__nonnull"))
+        out = one if out is None else out.crossJoin(F.broadcast(one))   # one row each
+    return out.select(*[f"`{c}__distinct`" for c in cols], *[f"`{c}__nonnull`" for c in cols])
 
 
 # -------------------------------------------------------------------- A16

@@ -75,14 +75,27 @@ def drop_helpers(df: DataFrame, cols: Iterable[str] = K.DROP_ROLE) -> DataFrame:
 
 
 # --------------------------------------------------------------------- F7
-def settings_frame(df: DataFrame, settings: DataFrame, columns: Sequence[str] = K.APP_RAW_COLUMNS,
-                   on: Sequence[str] | None = None) -> DataFrame:
+def default_settings() -> dict:
+    """The race-day defaults as settings columns (tyre one-hot, Rain 0/1)."""
+    s = {k: v for k, v in K.DEFAULT_SETTINGS.items() if k != "tire"}
+    return s | {"Rain": int(s["Rain"])} | {t: int(t == K.DEFAULT_SETTINGS["tire"]) for t in K.TYRES}
+
+
+def settings_frame(df: DataFrame, settings: DataFrame | None = None, columns: Sequence[str] = K.APP_RAW_COLUMNS,
+                   on: Sequence[str] | None = None, defaults: bool = False) -> DataFrame:
     """Fixed-column model input: every column of ``columns`` taken from the
     entry row, else from the race settings, else 0.
 
     ``settings`` is one row per race (joined on ``on``) or a single row
-    (``on=None``: cross join with exactly one broadcast row).
+    (``on=None``: cross join with exactly one broadcast row).  Without
+    settings, and with ``defaults`` where a race has none, the race-day
+    defaults hold.
     """
+    given = default_settings() if defaults or settings is None else {}
+    if settings is None:
+        have = set(df.columns)
+        keep = [c for c in K.KEY if c in have]
+        return df.select(*keep, *[(F.col(f"`{c}`") if c in have else F.lit(given.get(c, 0))).alias(c) for c in columns])
     if on:
         joined = df.join(settings, list(on), "left")
     else:
@@ -94,8 +107,10 @@ def settings_frame(df: DataFrame, settings: DataFrame, columns: Sequence[str] =
         joined = df.crossJoin(F.broadcast(one))
     have = set(df.columns) | set(settings.columns)
     keep = [c for c in K.KEY if c in df.columns]
+    own = set(df.columns)
     return joined.select(*keep, *[
-        (F.col(f"`{c}`") if c in have else F.lit(0)).alias(c) for c in columns])
+        (F.lit(given.get(c, 0)) if c not in have else F.coalesce(F.col(f"`{c}`"), F.lit(given[c]))
+         if c in given and c not in own else F.col(f"`{c}`")).alias(c) for c in columns])
 
 
 # --------------------------------------------------------------------- F8

@@ -54,6 +54,15 @@ def train_medians(train: DataFrame, features: Sequence[str]) -> DataFrame:
     return quantile_row(train, {f"_med{i}": _bq(c) for i, c in enumerate(features)})
 
 
+def scoped_medians(train: DataFrame, features: Sequence[str], median_scope: str = "labelled",
+                   label: str = K.TARGET) -> DataFrame:
+    """P10: medians of the training rows with a target (``labelled``) or of
+    ``all`` training rows; the published scripts do either."""
+    if median_scope not in ("labelled", "all"):
+        raise ValueError(f"unknown median_scope {median_scope!r}")
+    return train_medians(train.filter(F.col(label).isNotNull()) if median_scope == "labelled" else train, features)
+
+
 def impute(df: DataFrame, medians: DataFrame | None, features: Sequence[str]) -> DataFrame:
     """Fill NULL/NaN features with the training medians (then 0)."""
     if medians is None:

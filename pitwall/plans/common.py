@@ -37,9 +37,15 @@ def bq(name: str):
 
 
 def feat(spark, sf) -> DataFrame:
+    """Nation grain: 25 drivers with deep history (training)."""
     return race_table(spark, sf, "nation")
 
 
+def field(spark, sf) -> DataFrame:
+    """Customer grain: grows with the tables."""
+    return race_table(spark, sf, "customer")
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[
         F.round(bq(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
@@ -80,11 +86,11 @@ def feature_value(feature_col: str = "feature"):
     return expr
 
 
-def linear_preds(f: DataFrame, season: int = VAL, models: DataFrame | None = None) -> DataFrame:
-    """Long predictions ``(key, model, y_true, y_pred)`` for one season.  The
-    model table has exactly len(LINEAR) rows, so broadcasting it is safe."""
+def linear_preds(f: DataFrame, season: int | None = VAL, models: DataFrame | None = None) -> DataFrame:
+    """Long predictions ``(key, model, y_true, y_pred)`` for one season (None:
+    all).  The model table has exactly len(LINEAR) rows, so broadcasting it is safe."""
     m = F.broadcast(models if models is not None else linear_models(f))
-    rows = f.filter(F.col("Season") == season)
+    rows = f if season is None else f.filter(F.col("Season") == season)
     return (rows.crossJoin(m)
                 .select(*KEYS, "model", F.col(K.TARGET).alias("y_true"),
                         (F.col("intercept") + F.col("slope") * feature_value()).alias("y_pred")))
@@ -96,11 +102,11 @@ MODELS_SQL = "models AS (" + " UNION ALL ".join(
     for m, x in LINEAR) + ")"
 
 
-def preds_sql(season: int = VAL, name: str = "preds") -> str:
+def preds_sql(season: int | None = VAL, name: str = "preds") -> str:
     case = "CASE m.feature " + " ".join(
         f"WHEN '{x}' THEN CAST(f.{x} AS DOUBLE)" for _, x in LINEAR) + " END"
     return (f"{name} AS (SELECT f.Season, f.Round, f.DriverNumber, m.model, f.DeviationFromAvg_s AS y_true, "
-            f"m.intercept + m.slope * {case} AS y_pred FROM feat f CROSS JOIN models m WHERE f.Season = {season})")
+            f"m.intercept + m.slope * {case} AS y_pred FROM feat f CROSS JOIN models m{'' if season is None else f' WHERE f.Season = {season}'})")
 
 
 # ------------------------------------------------------------ contributions

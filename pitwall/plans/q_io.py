@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.oracles import features_ctes, p2_sql
-from pitwall.plans.common import (KEYS, MODELS_SQL, TEST, VAL, feat, linear_models, linear_preds,
+from pitwall.plans.common import (KEYS, MODELS_SQL, TEST, field as feat, linear_models, linear_preds,
                                   preds_sql, round_doubles)
 from pitwall.plans.registry import query
 from pitwall.sources import files as IO
@@ -17,7 +17,7 @@ from pitwall.sources import html_tables as H
 from pitwall.streaming.scoring import read_scored, score_stream
 from pitwall.operators import aggregates as A
 
-FEAT = features_ctes("nation")
+FEAT = features_ctes("customer")
 _S1_COLS = ("Season", "Round", "DriverNumber", "Driver", "Status", "Q1", "PointsProp", "AvgQualiTime")
 _S1_SCHEMA = ("Season bigint, Round bigint, DriverNumber bigint, Driver string, Status string, Q1 string, "
               "PointsProp double, AvgQualiTime double")
@@ -70,18 +70,22 @@ def s3(spark, sf):
     return round_doubles(A.metrics_by_model(back))
 
 
+PAGE_ROWS = 25
 _HEADERS = ["Pos.", "No.", "Driver", "Team", "Q1", "Q2", "Q3", "Laps"]
 
 
 @query("S4_html_results_table", sql=FEAT + f"""
-SELECT Season * 100 + Round AS page_id, CAST(GridPosition - 1 AS INTEGER) AS row,
+SELECT (Season * 100 + Round) * 1000000 + (GridPosition - 1) // {PAGE_ROWS} AS page_id,
+       CAST((GridPosition - 1) % {PAGE_ROWS} AS INTEGER) AS row,
        CAST(GridPosition AS VARCHAR) AS "Pos.", CAST(DriverNumber AS VARCHAR) AS "No.",
        {p2_sql('DriverRaw')} AS Driver, TeamName AS Team, COALESCE(Q1, '') AS Q1, COALESCE(Q2, '') AS Q2,
        COALESCE(Q3, '') AS Q3, CAST(Laps AS VARCHAR) AS Laps
-FROM feat WHERE Season = {VAL}""")
+FROM feat""")
 def s4(spark, sf):
-    g = feat(spark, sf).filter(F.col("Season") == VAL).select(
-        (F.col("Season") * 100 + F.col("Round")).alias("page"), F.col("GridPosition").alias("Pos."),
+    """All grids as pages of ``PAGE_ROWS`` places, extracted again."""
+    place = F.col("GridPosition") - 1
+    g = feat(spark, sf).select(
+        ((F.col("Season") * 100 + F.col("Round")) * 1000000 + F.floor(place / PAGE_ROWS)).alias("page"), F.col("GridPosition").alias("Pos."),
         F.col("DriverNumber").alias("No."), F.col("DriverRaw").alias("Driver"), F.col("TeamName").alias("Team"),
         "Q1", "Q2", "Q3", "Laps", F.col("GridPosition").alias("_o"))
     pages = H.table_html(g, "page", "_o", _HEADERS)

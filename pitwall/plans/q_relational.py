@@ -1,8 +1,8 @@
 """Relational operator queries: filters (F), contracts (V), joins (J),
 aggregates (A), windows (W), sorts/samples (T), reshaping (U), calibration (C).
 
-All queries read the nation-grain race feature table (derived from the
-whole orders/lineitem/customer/nation tables).  Double outputs are rounded
+All queries read the customer-grain race feature table (derived from the
+whole orders/lineitem/customer/nation tables, and growing with them).  Double outputs are rounded
 to 6 decimals on both sides.
 """
 
@@ -22,12 +22,12 @@ from pitwall.operators.calibration import apply_calibration, calibrated_metrics,
 from pitwall.oracles import features_ctes
 from pitwall.plans.common import (CONTRIB, CONTRIB_LONG_SQL, ENTRY_ID_SQL, KEY_SQL, KEYS,
                                   MEANS_SQL, MODELS_SQL, RULE_CLUSTER_SQL, TEST, TRAIN, TRAIN_SQL, VAL,
-                                  VALUES_LONG_SQL, bq, contributions_long, contributions_wide, feat,
-                                  hash_sql, linear_models, linear_preds, preds_sql, q, round_doubles,
+                                  VALUES_LONG_SQL, bq, contributions_long, contributions_wide,
+                                  field as feat, hash_sql, linear_models, linear_preds, preds_sql, q, round_doubles,
                                   rule_cluster, with_entry_id)
 from pitwall.plans.registry import query
 
-FEAT = features_ctes("nation")
+FEAT = features_ctes("customer")
 R = round_doubles
 
 
@@ -209,11 +209,11 @@ def j1(spark, sf):
 
 @query("J2_fallback_key_join", sql=FEAT + f"""
 SELECT l.Season, l.Round, l.DriverNumber, l.Points, round(r.PointsProp, 6) AS PointsProp
-FROM (SELECT {KEY_SQL}, Points FROM feat WHERE Season = {TEST}) l
+FROM (SELECT {KEY_SQL}, Points FROM feat) l
 LEFT JOIN (SELECT {KEY_SQL}, PointsProp FROM feat) r USING (DriverNumber, Season, Round)""")
 def j2(spark, sf):
     f = feat(spark, sf)
-    left = f.filter(F.col("Season") == TEST).select(*KEYS, "Points")
+    left = f.select(*KEYS, "Points")
     right = f.select(*KEYS, "PointsProp")
     return R(J.fallback_join(left, right).select(*KEYS, "Points", "PointsProp"))
 
@@ -228,12 +228,12 @@ def j3(spark, sf):
     return R(J.truth_pred_join(f, p).select(*KEYS, "y_true", "y_pred"))
 
 
-@query("J4_prediction_grid_attach", sql=FEAT + f""", {MODELS_SQL}, {preds_sql()}
+@query("J4_prediction_grid_attach", sql=FEAT + f""", {MODELS_SQL}, {preds_sql(None)}
 SELECT p.Season, p.Round, p.DriverNumber, f.Driver, round(p.y_pred, 6) AS y_pred
 FROM (SELECT * FROM preds WHERE model = 'grid_linear') p JOIN feat f USING (Season, Round, DriverNumber)""")
 def j4(spark, sf):
     f = feat(spark, sf)
-    p = linear_preds(f).filter(F.col("model") == "grid_linear").select(*KEYS, "y_pred")
+    p = linear_preds(f, None).filter(F.col("model") == "grid_linear").select(*KEYS, "y_pred")
     return R(p.join(f.select(*KEYS, "Driver"), KEYS).select(*KEYS, "Driver", "y_pred"))
 
 
@@ -268,11 +268,11 @@ def j6(spark, sf):
 
 
 @query("J8_override_join", sql=FEAT + f"""
-, ov AS (SELECT {KEY_SQL}, round(1 - PointsProp, 2) AS pp FROM feat WHERE Season = {VAL} AND DriverNumber % 5 = 0)
+, ov AS (SELECT {KEY_SQL}, round(1 - PointsProp, 2) AS pp FROM feat WHERE DriverNumber % 5 = 0)
 SELECT f.Season, f.Round, f.DriverNumber, round(COALESCE(ov.pp, f.PointsProp, 0.5), 6) AS PointsProp
-FROM feat f LEFT JOIN ov USING (Season, Round, DriverNumber) WHERE f.Season = {VAL}""")
+FROM feat f LEFT JOIN ov USING (Season, Round, DriverNumber)""")
 def j8(spark, sf):
-    f = feat(spark, sf).filter(F.col("Season") == VAL)
+    f = feat(spark, sf)
     ov = f.filter(F.pmod("DriverNumber", F.lit(5)) == 0).select(
         *KEYS, F.round(1 - F.col("PointsProp"), 2).alias("PointsProp"))
     return R(J.override_values(f.select(*KEYS, "PointsProp"), ov))
@@ -281,10 +281,10 @@ def j8(spark, sf):
 @query("J9_dependence_table", sql=FEAT + f""", {MEANS_SQL}, {CONTRIB_LONG_SQL}, {VALUES_LONG_SQL}
 SELECT v.Season, v.Round, v.DriverNumber, v.feature, round(v.value, 6) AS value,
        round(c.contribution, 6) AS contribution
-FROM vals v JOIN contrib c USING (Season, Round, DriverNumber, feature) WHERE v.Season = {VAL}""")
+FROM vals v JOIN contrib c USING (Season, Round, DriverNumber, feature)""")
 def j9(spark, sf):
     f = feat(spark, sf)
-    vals = f.filter(F.col("Season") == VAL).select(*KEYS, *[bq(c).cast("double").alias(c) for c in CONTRIB]) \
+    vals = f.select(*KEYS, *[bq(c).cast("double").alias(c) for c in CONTRIB]) \
             .unpivot(KEYS, list(CONTRIB), "feature", "value")
     return R(J.dependence_table(vals, contributions_long(f), KEYS))
 
@@ -568,14 +568,14 @@ def w2(spark, sf):
     return R(f.select(*KEYS, "races_prior_this_season", "races_prior_counted"))
 
 
-_RANK_SQL = f""", {MODELS_SQL}, {preds_sql()},
+_RANK_SQL = f""", {MODELS_SQL}, {preds_sql(None)},
 rk AS (SELECT {KEY_SQL}, y_pred, row_number() OVER (PARTITION BY Season, Round ORDER BY y_pred NULLS LAST, DriverNumber)
          AS PredictedPosition FROM preds WHERE model = 'grid_linear')"""
 
 
 def _ranked(spark, sf):
-    p = linear_preds(feat(spark, sf)).filter(F.col("model") == "grid_linear").select(*KEYS, "y_pred")
-    return W.rank_predictions(p, "y_pred", method="window")
+    p = linear_preds(feat(spark, sf), None).filter(F.col("model") == "grid_linear").select(*KEYS, "y_pred")
+    return W.rank_predictions(p, "y_pred")
 
 
 @query("W3_rank_predictions", sql=FEAT + _RANK_SQL + f" SELECT {KEY_SQL}, round(y_pred, 6) AS y_pred, PredictedPosition FROM rk")
@@ -603,20 +603,18 @@ def w5(spark, sf):
 
 
 @query("W6_tertile_labels", sql=FEAT + f"""
-, e AS (SELECT quantile_cont(Points, 1/3) AS e1, quantile_cont(Points, 2/3) AS e2 FROM feat WHERE Points > 0)
-SELECT {KEY_SQL}, {_TERT_SQL.format(v='Points')} AS tertile FROM feat CROSS JOIN e WHERE Points > 0""")
+, e AS (SELECT quantile_cont(FinishTime_s, 1/3) AS e1, quantile_cont(FinishTime_s, 2/3) AS e2 FROM feat)
+SELECT {KEY_SQL}, {_TERT_SQL.format(v='FinishTime_s')} AS tertile FROM feat CROSS JOIN e""")
 def w6(spark, sf):
-    f = feat(spark, sf).filter(F.col("Points") > 0)
-    return W.tertile_label(f, "Points", "tertile").select(*KEYS, "tertile")
+    return W.tertile_label(feat(spark, sf), "FinishTime_s", "tertile").select(*KEYS, "tertile")
 
 
 @query("W7_top_k_contributions", sql=FEAT + f""", {MEANS_SQL}, {CONTRIB_LONG_SQL}
 SELECT {KEY_SQL}, feature, round(contribution, 6) AS contribution,
        row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY ABS(contribution) DESC, feature) AS rank
-FROM contrib WHERE Season = {VAL} QUALIFY rank <= 3""")
+FROM contrib QUALIFY rank <= 10""")
 def w7(spark, sf):
-    long = contributions_long(feat(spark, sf)).filter(F.col("Season") == VAL)
-    return R(W.top_k_per_row(long, KEYS, 3))
+    return R(W.top_k_per_row(contributions_long(feat(spark, sf)), KEYS, 10))
 
 
 # ==================================================== T: sorts / samples

@@ -18,13 +18,13 @@ from pitwall.plans.features import race_table
 from pitwall.plans.registry import query
 from pitwall.sources.rig import read_table
 
-FEAT = features_ctes("nation")
+FEAT = features_ctes("customer")
 KEYS = ["Season", "Round", "DriverNumber"]
 KEY_SQL = "Season, Round, DriverNumber"
 
 
 def feat(spark, sf):
-    return race_table(spark, sf, "nation")
+    return race_table(spark, sf, "customer")
 
 
 # ---------------------------------------------------------------- P1-P3

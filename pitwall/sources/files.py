@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.session import ensure_checkpoint_dir
+from pitwall.session import ensure_checkpoint_dir, write_table
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -93,28 +93,55 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in statuses)
 
 
+def prediction_files(spark: SparkSession, pattern: str, stem_regex: str,
+                     required: Sequence[str] = ("y_true", "y_pred")) -> tuple[DataFrame, DataFrame]:
+    """S3: ``(rows, files)`` of all prediction CSVs matched by ``pattern``,
+    whatever other columns each has and in whatever order.
+
+    ``rows``: the ``required`` columns as doubles and ``model``, group 1 of
+    ``stem_regex`` applied to the file path.  ``files``: (path, model, header,
+    reason), one row per file; a reason tells why it gives no rows.
+
+    One job finds every file's first line, one reads all files; columns are
+    picked by their place in the file's own header.  The number of jobs does
+    not depend on the number of files.
+    """
+    paths = list_files(spark, pattern)
+    schema = ", ".join(f"{c} double" for c in required) + ", model string"
+    if not paths:
+        return (spark.createDataFrame([], schema),
+                spark.createDataFrame([], "path string, model string, header string, reason string"))
+    model = F.regexp_extract("path", stem_regex, 1).alias("model")
+    lines = (spark.read.option("ignoreCorruptFiles", True).text(paths)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"), "value").where(F.trim("value") != ""))
+    heads = write_table(lines.groupBy("path").agg(F.min(F.struct("block", "row", "value"))["value"].alias("header")),
+                        "headers")
+    width = heads.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    cells = ", ".join(f"c{i} string" for i in range(width))
+
+    def fields(line: str):
+        parsed = F.from_csv(F.col(line), cells, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+        return F.transform(F.array(parsed), lambda p: F.array(*[p[f"c{i}"] for i in range(width)]))[0]
+
+    at = [F.array_position(fields("header"), c).cast("int").alias(f"at_{i}") for i, c in enumerate(required)]
+    known = heads.select("path", "header", *at)
+    lacks = F.concat_ws(", ", *[F.when(F.col(f"at_{i}") == 0, c) for i, c in enumerate(required)])
+    files = known.select("path", model, "header", F.when(lacks != "", F.concat(F.lit("no column "), lacks)).alias("reason"))
+    # files without a line are only known from the listing
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").select("path", model)
+    silent = listed.join(files.select("model").distinct(), "model", "left_anti").select(
+        "path", "model", F.lit(None).cast("string").alias("header"), F.lit("empty or unreadable").alias("reason"))
+    full = known.where(lacks == "").withColumnRenamed("path", "_path")
+    rows = lines.join(full, (F.col("path") == F.col("_path")) & (F.col("value") != F.col("header"))).withColumn("_f", fields("value"))
+    return rows.select(*[F.try_element_at("_f", F.col(f"at_{i}")).try_cast("double").alias(c) for i, c in enumerate(required)],
+                       model), files.unionByName(silent)
+
+
 def read_prediction_files(spark: SparkSession, pattern: str, stem_regex: str,
                           required: Sequence[str] = ("y_true", "y_pred")) -> DataFrame:
-    """Union of prediction CSVs matched by ``pattern``; ``model`` = group 1
-    of ``stem_regex`` applied to the source file path.  Files lacking the
-    required columns (checked from their header) or unreadable are skipped."""
-    parts = []
-    for path in list_files(spark, pattern):
-        try:
-            df = spark.read.option("header", True).csv(path)
-        except Exception:            # noqa: BLE001 - unreadable file is skipped
-            continue
-        if not all(c in df.columns for c in required):
-            continue
-        parts.append(df.select(*[F.col(c).try_cast("double").alias(c) for c in required])
-                       .withColumn("model", F.regexp_extract(F.input_file_name(), stem_regex, 1)))
-    if not parts:
-        schema = ", ".join(f"{c} double" for c in required) + ", model string"
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The rows of ``prediction_files``; files that give none are skipped."""
+    return prediction_files(spark, pattern, stem_regex, required)[0]
 
 
 # --------------------------------------------------------------------- S5
