@@ -70,9 +70,10 @@ CHUNK = 4096              # bytes of a chunk
 FILE_BYTES = 256 << 20    # a file is closed beyond this
 READ_BYTES = 8 << 20      # read at once, or one document if that is longer
 TASK_BYTES = 32 << 20     # of frames a reading task
-SLICE = 6 << 20           # bytes of text encoded at once in a worker
-KNOWN = 1_000_000         # pieces whose ids a worker keeps at most
+SLICE = 2 << 20           # bytes of text encoded at once in a worker
+KNOWN = 250_000           # pieces whose ids a worker keeps at most
 JOINED = 64               # pieces that the library encodes as one text
+AT_ONCE = 16_384          # pieces of one library call
 MAGIC = b"PWTOK1\0"
 SPECIAL = "<|endoftext|>"
 
@@ -103,14 +104,19 @@ class PieceEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        # many pieces a call, parted by the special token, which none of them holds
-        texts = [SPECIAL.join(pieces[a:a + JOINED]) + SPECIAL for a in range(0, len(pieces), JOINED)]
-        got = np.concatenate([np.array(ids, np.int64) for ids in self._encode(texts)])
-        ends = np.flatnonzero(got == self.special)
-        n = len(self.number)
-        self.number.update(zip(pieces, range(n, n + len(pieces))))
-        self.ids = np.concatenate([self.ids, got[got != self.special].astype(self.ids.dtype)])
-        self.start = np.concatenate([self.start, self.start[-1] + ends - np.arange(len(pieces))])
+        new_ids, new_start, before = [self.ids], [self.start], self.start[-1]
+        for a in range(0, len(pieces), AT_ONCE):
+            some = pieces[a:a + AT_ONCE]
+            # many pieces a text, parted by the special token, which none of them holds
+            texts = [SPECIAL.join(some[k:k + JOINED]) + SPECIAL for k in range(0, len(some), JOINED)]
+            got = np.concatenate([np.array(ids, np.uint32) for ids in self._encode(texts)])
+            ends = np.flatnonzero(got == self.special)
+            n = len(self.number)
+            self.number.update(zip(some, range(n, n + len(some))))
+            new_start.append(before + ends - np.arange(len(some)))
+            new_ids.append(got[got != self.special].astype(self.ids.dtype))
+            before += len(new_ids[-1])
+        self.ids, self.start = np.concatenate(new_ids), np.concatenate(new_start)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
