@@ -4,8 +4,9 @@ Method.  Posterior of a language = text likelihood x declared language x host
 prior, normalised.
 
 * Text: trigrams of letters (UTF-8 bytes, lower case, hashed into ``BUCKETS``)
-  under one model per declared language, however few rows declare it, fitted
-  on a bounded sample of them.  A model is smoothed by ``POOLED`` trigrams of
+  under one model per declared language (a two-letter code of ``CODES``),
+  however few rows declare it, fitted on a bounded sample of them: about
+  ``SAMPLE`` distinct rows, drawn by a 63-bit hash of key, text and host.  A model is smoothed by ``POOLED`` trigrams of
   the pooled distribution (all languages alike), so a thin one leans on it.
   One text gives a model ``ONE_TEXT`` trigrams at most.  Trigrams overlap, so
   a judged text counts as ``EVIDENCE`` trigrams at most.  The class ``und``
@@ -20,12 +21,14 @@ A row is rejected (``kept`` false) if ``und`` wins, if no language reaches
 ``CONFIDENCE``, or if the winner is not among the accepted languages.
 
 Scale.  One scan of the texts writes a few numbers per row; counts are
-pre-aggregated, so a hot host is no hot task; host priors join by key (never
-broadcast by hand).  The driver holds only the model:
-declared languages x buckets, each declared tag being one.
+pre-aggregated; host priors join by key (never broadcast by hand): rows
+without a host skip the join, and of a hot host only the rows' side is large,
+which adaptive execution splits.  The driver holds only the model: at most
+``len(CODES)`` languages x buckets.
 
 Defined cases: a null or empty text has no text evidence, the rest decides; a
-null declared language or host gives no evidence; without any labelled row
+null declared language or host gives no evidence, nor does a declared tag that
+is no code of the list; without any labelled row
 there is no model and nothing is rejected (language null); repeated rows are
 rows; an empty table gives an empty result; other columns are carried along
 whatever their names.
@@ -50,6 +53,12 @@ EVIDENCE = 60.0          # trigrams that a text counts as at most
 CONFIDENCE = 0.5
 SMOOTH = 5.0             # rows by which a level of the host chain trusts the one above
 UND = "und"
+# The two-letter language codes of ISO 639-1.
+CODES = ("aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el "
+         "en eo es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu "
+         "ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na "
+         "nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so "
+         "sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu").split()
 RARE = 0.1               # share of a model that spreads evenly, for what it never met
 # letters lower-cased, other ASCII blank: digits and signs tell no language
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -76,23 +85,39 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def primary(tag: Column) -> Column:
-    """``en`` of ``en-GB``; null if there is none."""
+    """``en`` of ``en-GB``; null if there is none, or none of ``CODES``."""
     tag = F.lower(F.regexp_extract(F.coalesce(tag, F.lit("")), r"^\s*([A-Za-z]{2,8})", 1))
-    return F.when(tag != "", tag)
+    return F.when(tag.isin(CODES), tag)
+
+
+DRAWN = (1 << 63) - 1
+
+
+def share(sample: int, n: int) -> int:
+    """Hashes up to this one of 0 to ``DRAWN`` are drawn: ``sample`` of ``n`` rows."""
+    return DRAWN if n <= sample else DRAWN * sample // n
+
+
+def drawn(rows: DataFrame, counts: dict[str, int], sample: int) -> DataFrame:
+    """declared, text: about ``sample`` distinct rows of each language.  Rows
+    of one key, or of none, differ by their texts."""
+    most = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (
+        lang, share(sample, n))]), F.col("declared"))
+    lot = F.xxhash64("key", "text", "host").bitwiseAND(F.lit(DRAWN))
+    return (rows.where("text IS NOT NULL").withColumn("lot", lot).where(F.col("lot") <= most)
+            .groupBy("declared", "lot").agg(F.first("text").alias("text")).select("declared", "text"))
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
-    """Text model from rows (key, text, declared); about ``sample`` rows per
-    language, chosen by hash, are read."""
+    """Text model from rows (key, text, declared, host); about ``sample`` rows
+    per language, chosen by hash, are read."""
     ensure_python_package(rows.sparkSession)
     counts = {r["declared"]: r["n"] for r in rows.where("declared IS NOT NULL AND text IS NOT NULL")
               .groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(set(counts) - {UND}))
     if not languages:
         return None
-    share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (
-        lang, int(min(1.0, sample / counts[lang]) * (1 << 20)))]), F.col("declared"))
-    chosen = rows.where("text IS NOT NULL").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share).select("declared", "text")
+    chosen = drawn(rows, {lang: counts[lang] for lang in languages}, sample)
     place = {lang: k for k, lang in enumerate(languages)}
 
     def count(batches):
@@ -208,7 +233,9 @@ def identify(rows: DataFrame, model: TextModel | None = None, accepted: tuple[st
                     [(seen.get((tag, i), 0) + SMOOTH * share) / (per_class[i] + SMOOTH) for i in range(k)])
     declared = F.get(F.array(*[F.array(*[F.lit(p) for p in t]) for t in tags]), F.col("tag"))
     hosts = host_priors(votes, k, corpus)
-    v = votes.join(hosts, votes["host_key"] == hosts["of"], "left")
+    empty = F.lit(None).cast("array<double>")
+    v = votes.where("host_key IS NOT NULL").join(hosts, F.col("host_key") == F.col("of"), "left").drop("of").unionByName(
+        votes.where("host_key IS NULL").withColumns({"counts": empty, "above": empty}))
     # the row's own vote is no evidence about itself
     others = F.transform("counts", lambda n, i: n - F.when(i == F.col("vote"), 1.0).otherwise(0.0))
     prior = F.when(F.col("counts").isNull(), F.array(*[F.lit(p) for p in corpus])).otherwise(
@@ -224,7 +251,7 @@ def identify(rows: DataFrame, model: TextModel | None = None, accepted: tuple[st
     if accepted is not None:
         fine = fine & F.col("language").isin(*accepted)
     nothing = (F.col("vote") < 0) & (F.col("tag") == k + 1) & F.col("host_key").isNull()
-    return v.withColumn("kept", fine | nothing).drop("lo", "best", "prior", "said", "counts", "above", "of", "ll",
+    return v.withColumn("kept", fine | nothing).drop("lo", "best", "prior", "said", "counts", "above", "ll",
                                            "vote", "tag", "host_key", "domain", "suffix")
 
 
