@@ -43,6 +43,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import uuid
 import zlib
 
@@ -70,10 +71,10 @@ CHUNK = 4096              # bytes of a chunk
 FILE_BYTES = 256 << 20    # a file is closed beyond this
 READ_BYTES = 8 << 20      # read at once, or one document if that is longer
 TASK_BYTES = 32 << 20     # of frames a reading task
-SLICE = 2 << 20           # bytes of text encoded at once in a worker
-KNOWN = 250_000           # pieces whose ids a worker keeps at most
+SLICE = 6 << 20           # bytes of text encoded at once in a worker
+KNOWN = 500_000           # pieces whose ids a worker keeps at most
 JOINED = 64               # pieces that the library encodes as one text
-AT_ONCE = 16_384          # pieces of one library call
+AT_ONCE = 8192            # pieces of one library call
 MAGIC = b"PWTOK1\0"
 SPECIAL = "<|endoftext|>"
 
@@ -149,6 +150,8 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def encoder(path: str) -> PieceEncoder:
+    # Spark runs a worker per core; the library's own threads would only cost memory
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
