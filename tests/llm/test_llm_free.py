@@ -420,15 +420,23 @@ def test_license_phrases():
 def test_license_notices_within_the_edit_bound():
     rnd = random.Random(3)
     for _ in range(200):
-        notice = rnd.choice(list(licenses.NOTICES))
-        s = list(notice)
-        for _ in range(len(notice) // licenses.EDITS_EVERY):
-            k = rnd.randrange(1, len(s) - 1)
-            s[k] = rnd.choice("abcdefghij")
+        marked = rnd.choice(list(licenses.NOTICES))
+        notice = licenses.Notice(marked, "")
+        s, inside, free = list(notice.text), False, []
+        for ch in marked:           # places outside the exact words and their borders
+            if ch in "[]":
+                inside = ch == "["
+                if free and inside:
+                    free[-1] = False
+            else:
+                free.append(not inside and not (free and not free[-1] and ch == " "))
+        places = [k for k in range(1, len(s) - 1) if free[k]]
+        for _ in range(notice.edits):
+            s[rnd.choice(places)] = rnd.choice("abcdefghij")
         if "  " in "".join(s) or "".join(s) != "".join(s).strip():
             continue
         r = licenses.scan_text(f"Words before. {''.join(s)}; and words after".encode())
-        assert licenses.NOTICES[notice] in r["labels"].split(",") and r["score"] >= 0.9
+        assert licenses.NOTICES[marked] in r["labels"].split(",") and r["score"] >= 0.9, "".join(s)
     for t in ("The license plate of the car was under the seat.", "She was released under the terms.", ""):
         r = licenses.scan_text(t.encode())
         assert r["labels"] == "" and r["score"] == 0.0
@@ -436,6 +444,71 @@ def test_license_notices_within_the_edit_bound():
     assert (span["label"], span["first_word"], span["last_word"]) == ("apache-2.0", 2, 9)
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("released under the MPL license", ""),
+    ("Licensed under the Apache License, Version 1.1", ""),
+    ("Licensed under the Apache License, Version 2.0", "apache-2.0"),
+    ("unreleased under the mit license", ""),
+    ("It is released under the MIT license.", "mit"),
+    ("Licensed under a Creative Commons Attribution-NonCommercial 4.0 license", ""),
+    ("Licensed under a Creative Commons Attribution-ShareAlike license", ""),
+    ("Licensed under a Creative Commons Attribution 4.0 license", "cc-by"),
+    ("under the terms of the GNU Lesser General Public License", "gpl,lgpl"),      # gpl is the base phrase's
+    ("under the terms of the GNU Affero General Public License", "agpl,gpl"),
+    ("Subject to the terms of the Mozilla Public License, v. 2.0.", "mpl,mpl-2.0"),
+    ("Subject to the terms of the Mozilla Public License, v. 1.1.", "mpl"),
+    ("released under the mitt license", ""),
+])
+def test_license_names_are_exact(text, labels):
+    assert licenses.scan_text(text.encode())["labels"] == labels
+
+
+def edit_spans(notice, words):
+    """Whether some run of whole words is the notice, by plain edit distances."""
+    w = words.split(" ")
+    for a in range(len(w)):
+        for z in range(a + 1, min(len(w), a + notice.text.count(" ") + 1 + notice.edits) + 1):
+            found = " ".join(w[a:z])
+            if abs(len(found) - len(notice.text)) > notice.edits:
+                continue
+            row = list(range(len(found) + 1))
+            for i, x in enumerate(notice.text, 1):
+                last, row[0] = row[0], i
+                for j, y in enumerate(found, 1):
+                    last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+            start = len(" ".join(w[:a])) + (a > 0)
+            if notice.holds(words, start, start + len(found), row[-1]):
+                return True
+    return False
+
+
+def test_license_labels_equal_a_plain_scan():
+    rnd = random.Random(9)
+    short = [n for n in map(lambda x: licenses.Notice(*x), licenses.NOTICES.items()) if len(n.text) < 60]
+    seen = 0
+    for _ in range(60):
+        notice = rnd.choice(short)
+        s = list(notice.text)
+        for _ in range(rnd.randint(0, notice.edits + 1)):
+            k, how = rnd.randrange(len(s)), rnd.random()
+            s[k:k + 1] = [rnd.choice("abe t")] if how < 0.4 else [] if how < 0.7 else [s[k], rnd.choice("abe t")]
+        words = " ".join(f"some {''.join(s)} text".split())
+        got = {x[0] for x in licenses.fuzzy(words)}
+        want = {n.label for n in short if edit_spans(n, words)}
+        assert got & {n.label for n in short} == want, words
+        seen += bool(want)
+    assert seen > 15
+
+
+def test_license_word_numbers_are_linear():
+    import time
+    t0 = time.process_time()
+    r = licenses.scan_text(b"cc by " * 170_000)
+    assert r["n_base"] == 170_000 and r["last_word"] == 339_998
+    licenses.scan_text(b"released under the mit license " * 3_000)
+    assert time.process_time() - t0 < 20
+
+
 # --- all of them -----------------------------------------------------------
 
 def test_empty_tables(empty):
