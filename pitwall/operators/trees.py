@@ -307,19 +307,38 @@ def oof_ensemble(train: DataFrame, features: Sequence[str], params: TreeParams,
 
 
 # -------------------------------------------------------------------- M15
+def wide_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``keep``, the numeric roles as ``num__X`` and the categorical ones as
+    text (NULL is the category 'missing')."""
+    return df.select(*[_bq(c) for c in keep], *[_bq(c).cast("double").alias(f"num__{c}") for c in numeric],
+                     *[F.coalesce(_bq(c).cast("string"), F.lit("missing")).alias(f"_cat_{c}") for c in categorical])
+
+
 def categorical_pipeline(numeric: Sequence[str], categorical: Sequence[str], params: TreeParams,
                          label: str = K.TARGET) -> Pipeline:
-    """Index + one-hot the categoricals (unknown kept), assemble with the
-    numerics, then GBT.  The label is never an input column."""
-    assert label not in numeric, "target must not be a feature"
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
-    ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
-                        outputCols=[f"{c}__ohe" for c in categorical], dropLast=False, handleInvalid="keep")
-    va = VectorAssembler(inputCols=[*numeric, *[f"{c}__ohe" for c in categorical]],
+    """On ``wide_inputs``: one-hot categories and numerics as one sparse vector
+    whose attributes are named ``num__X`` and ``cat__Col_value``, then GBT.
+
+    The indexer keeps unseen values as a last category, which the encoder
+    drops: they are zero in every column, and the width is that of training.
+    The label is never an input column."""
+    if label in (*numeric, *categorical):
+        raise ValueError("the target must not be a feature")
+    idx = [StringIndexer(inputCol=f"_cat_{c}", outputCol=f"_idx_{c}", handleInvalid="keep", stringOrderType="alphabetAsc")
+           for c in categorical]
+    ohe = OneHotEncoder(inputCols=[f"_idx_{c}" for c in categorical],
+                        outputCols=[f"cat__{c}" for c in categorical], dropLast=True, handleInvalid="error")
+    va = VectorAssembler(inputCols=[*[f"num__{c}" for c in numeric], *[f"cat__{c}" for c in categorical]],
                          outputCol="features", handleInvalid="keep")
     return Pipeline(stages=[*idx, ohe, va, gbt(params, label)])
 
 
+def matrix_names(df: DataFrame, features: str = "features") -> list[str]:
+    """The names of a vector column's places, from its attributes."""
+    groups = df.schema[features].metadata["ml_attr"]["attrs"].values()
+    return [a["name"] for a in sorted((a for g in groups for a in g), key=lambda a: a["idx"])]
+
+
 # -------------------------------------------------------------------- M18
 def comparison_learners(label: str = K.TARGET, seed: int = 42) -> dict:
     return {

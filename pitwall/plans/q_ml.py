@@ -279,24 +279,36 @@ def m14(spark, sf):
     return round_doubles(_scored(spark, sf, 1).select(*KEYS, "y_pred"))
 
 
+def wide_roles(df):
+    """The categorical roles, all six, and the numeric ones that do not leak."""
+    df = df.withColumns({"TeamId": F.lower("TeamName"), "ClassifiedPosition": F.when(
+        F.col("Status") == "Retired", "R").otherwise(F.col("Position").cast("string"))})
+    numeric = [c for c in FL.numeric_columns(df) if c in K.NUMERIC_ROLE and not FL.is_leakage(c)]
+    return df, numeric, list(K.CATEGORICAL_ROLE)
+
+
 @query("M15_categorical_pipeline")
 def m15(spark, sf):
+    """Rare values of the training seasons become OTHER (P11), all roles one
+    named sparse matrix; validation must give the training matrix's names."""
     train, val, _ = splits(spark, sf)
-    num = [c for c in FEATURES]
+    (train, num, cat), (val, _, _) = wide_roles(train), wide_roles(val)
+    rare = A.rare_categories(train, cat, 20)
+    for c in cat:
+        train, val = map_rare_join(train, rare, c), map_rare_join(val, rare, c)
     med = TR.train_medians(train, num)
-    tr, va = TR.impute(train, med, num), TR.impute(val, med, num)
-    pipe = TR.categorical_pipeline(num, ["TeamName", "Status"], PARAMS).fit(
-        tr.fillna("missing", subset=["Status"]))
-    pred = pipe.transform(va.fillna("missing", subset=["Status"]))
+    tr, va = (TR.wide_inputs(TR.impute(d, med, num), num, cat, TRUTH) for d in (train, val))
+    model = TR.categorical_pipeline(num, cat, PARAMS).fit(tr)
+    pred = model.transform(va)
+    FL.assert_contract(TR.matrix_names(pred), TR.matrix_names(model.transform(tr)), exact=True)
     return round_doubles(pred.select(*KEYS, F.col(K.TARGET).alias("y_true"), F.col("prediction").alias("y_pred")))
 
 
 @query("M16_tree_contributions")
 def m16(spark, sf):
     _, _, _, med = vectors(spark, sf)
-    model = base_model(spark, sf)
-    _, val, _ = splits(spark, sf)
-    return round_doubles(AT.contributions(model, TR.impute(val, med, FEATURES), FEATURES))
+    rows = TR.impute(ml_table(spark, sf), med, FEATURES)      # every entry of every season
+    return round_doubles(AT.contributions(base_model(spark, sf), rows, FEATURES))
 
 
 @query("M17_permutation_importance")
