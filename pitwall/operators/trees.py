@@ -74,6 +74,21 @@ def impute(df: DataFrame, medians: DataFrame | None, features: Sequence[str]) ->
     return out.drop(*[f"_med{i}" for i in range(len(features))])
 
 
+SENTINEL = -1e12
+
+
+def missing_as_values(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, tuple[str, ...]]:
+    """Leave missing values to the trees instead of imputing them: a missing
+    value becomes ``SENTINEL``, a bin of its own below all others, and every
+    feature gets an indicator ``X__missing``, so a split can send missing
+    values to either side, or part them from all others.  Returns the frame
+    and the feature names to assemble."""
+    missing = {c: _bq(c).isNull() | F.isnan(_bq(c).cast("double")) for c in features}
+    out = df.withColumns({f"{c}__missing": m.cast("double") for c, m in missing.items()})
+    out = out.withColumns({c: F.when(_bq(f"{c}__missing") == 1.0, SENTINEL).otherwise(_bq(c).cast("double")) for c in features})
+    return out, (*features, *[f"{c}__missing" for c in features])
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 

@@ -168,6 +168,19 @@ def m6(spark, sf):
                                                        F.col("prediction").alias("y_pred")))
 
 
+FORM_FEATURES = (*FEATURES, "DeviationFromAvg_s_last1", "DeviationFromAvg_s_last2", "DeviationFromAvg_s_last5")
+
+
+@query("M6_gbt_missing_values")
+def m6b(spark, sf):
+    """Prior form is missing for a driver's first races: left to the trees."""
+    train, val, _ = splits(spark, sf)
+    (tr, names), (va, _) = TR.missing_as_values(train, FORM_FEATURES), TR.missing_as_values(val, FORM_FEATURES)
+    model = TR.fit_gbt(TR.assemble(tr, names), PARAMS)
+    return round_doubles(TR.predict(model, TR.assemble(va, names)).select(
+        *KEYS, F.col(K.TARGET).alias("y_true"), F.col("prediction").alias("y_pred")))
+
+
 @query("M7_score_saved_model")
 def m7(spark, sf):
     """K4 + M7: persist the model, reload it, score the test season."""

@@ -7,14 +7,17 @@ temp folder.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.session import ensure_checkpoint_dir, write_table
+from pitwall.session import ensure_checkpoint_dir, ensure_python_package, write_table
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -145,10 +148,42 @@ def read_prediction_files(spark: SparkSession, pattern: str, stem_regex: str,
 
 
 # --------------------------------------------------------------------- S5
-def manifest(spark: SparkSession, pattern: str) -> DataFrame:
-    """path, modification time, size and sha256 for every matched file."""
-    return (spark.read.format("binaryFile").load(pattern)
-            .select("path", "modificationTime", "length", F.sha2("content", 256).alias("sha256")))
+WHOLE = 1 << 30     # bytes of a file that may be one value
+CHUNK = 8 << 20     # bytes read at once of a larger one
+
+
+def _digests(batches):
+    for b in batches:
+        found = []
+        for path in b.column("path").to_pylist():
+            uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+            fs, name = pyarrow.fs.FileSystem.from_uri(uri)
+            digest = hashlib.sha256()
+            with fs.open_input_stream(name) as f:
+                while chunk := f.read(CHUNK):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string())], names=[*b.schema.names, "sha256"])
+
+
+def manifest(spark: SparkSession, pattern: str, whole: int = WHOLE) -> DataFrame:
+    """Path, modification time, size and sha256 for every matched file.
+
+    Files of up to ``whole`` bytes are read as one value; larger ones (a value
+    cannot exceed 2 GB) are streamed by ``CHUNK`` bytes in the task."""
+    ensure_python_package(spark)
+    files = spark.read.format("binaryFile").load(pattern)     # the bound on length is pushed into the scan
+    small = files.where(F.col("length") <= whole).select(
+        "path", "modificationTime", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path", "modificationTime", "length").mapInArrow(
+        _digests, "path string, modificationTime timestamp, length long, sha256 string")
+    # the reader gives no row for an empty file; the listing knows it
+    fs, p = hadoop_path(spark, pattern)
+    empty = [(s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(p) or [] if s.isFile() and s.getLen() == 0]
+    none = spark.createDataFrame(empty, "path string, at long").select(
+        "path", F.timestamp_millis("at").alias("modificationTime"), F.lit(0).cast("long").alias("length"),
+        F.lit(hashlib.sha256().hexdigest()).alias("sha256"))
+    return small.unionByName(large).unionByName(none)
 
 
 # ------------------------------------------------------------------ K1-K4

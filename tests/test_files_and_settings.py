@@ -62,3 +62,13 @@ def test_median_scope(spark):
     assert TR.scoped_medians(df, ["a"], "all").first()[0] == 2.0
     with pytest.raises(ValueError):
         TR.scoped_medians(df, ["a"], "some")
+
+
+def test_manifest_streams_large_files(spark, tmp_path):
+    import hashlib
+    for name, data in (("a.bin", b"x" * 10), ("b.bin", b"yz" * 9_000_000), ("c.bin", b"")):
+        (tmp_path / name).write_bytes(data)
+    want = {n: hashlib.sha256((tmp_path / n).read_bytes()).hexdigest() for n in ("a.bin", "b.bin", "c.bin")}
+    for whole in (IO.WHOLE, 100, -1):
+        got = {r.path.split("/")[-1]: (r.sha256, r.length) for r in IO.manifest(spark, f"file://{tmp_path}/*.bin", whole).collect()}
+        assert {n: g[0] for n, g in got.items()} == want and got["b.bin"][1] == 18_000_000

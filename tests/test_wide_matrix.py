@@ -23,3 +23,14 @@ def test_named_sparse_matrix(spark):
         TR.categorical_pipeline(["a", "y"], ["team"], SMALL, label="y")
     with pytest.raises(ValueError, match="order"):
         FL.assert_contract([*names[1:], names[0]], names, exact=True)
+
+
+def test_missing_values_are_learned(spark):
+    # the label depends on missingness alone; the values are noise
+    rows = [(float(i % 7) if i % 3 else (None if i % 2 else float("nan")), float(i % 5), 10.0 if i % 3 == 0 else -1.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    out, names = TR.missing_as_values(df, ["a", "b"])
+    assert names == ("a", "b", "a__missing", "b__missing")
+    model = TR.fit_gbt(TR.assemble(out, names), TR.TreeParams(max_iter=5, max_depth=2, subsample=1.0), "y")
+    worst = TR.predict(model, TR.assemble(out, names)).agg(F.max(F.abs(F.col("y") - F.col("prediction")))).first()[0]
+    assert worst < 0.5
