@@ -2,10 +2,11 @@
 
 Method.  Per kind a regular expression proposes spans.  A validator confirms
 them: address parts up to 255, digit counts, the Luhn sum of card numbers, the
-mod-97 remainder of bank account numbers (of all ends at a word boundary that
-a proposal has, the one that passes; its country's length first).  The words around a span move its
-score up or down.  The four base kinds are reported whenever they are valid;
-``iban`` and ``ssn``, which the method adds, need a score of ``THRESHOLD``.
+mod-97 remainder of bank account numbers (at a word boundary that gives a
+listed country's length), the entropy of secrets (values behind a word like
+token or password).  The words around a span move its score up or down.  The
+four base kinds are reported whenever they are valid; ``iban``, ``ssn`` and
+``secret``, which the method adds, need a score of ``THRESHOLD``.
 
 All proposals run in time linear in the text, however long its runs of digits
 or letters are: e-mail addresses are found from their ``@``, number chains are
@@ -18,6 +19,7 @@ empty result; extra columns are ignored by ``scan``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -39,6 +41,7 @@ KINDS = {
     "phone": (0.7, ("phone", "call", "tel", "mobile", "fax"), ("version", "price")),
     "iban": (0.6, ("iban", "account", "bank", "transfer"), ("serial", "part")),
     "ssn": (0.3, ("ssn", "social", "security", "taxpayer"), ("phone", "part", "order")),
+    "secret": (0.8, ("token", "secret", "password", "key"), ("example", "sample", "placeholder")),
 }
 BASE = ("email", "ip", "card", "phone")
 STEP = 0.3                                    # what one context word moves
@@ -59,7 +62,12 @@ _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_ANY = re.compile(r"[0-9@]")
+# a value behind = or :, and the word of a secret before that
+_VALUE = re.compile(r"[=:][\x20\"']{0,3}([A-Za-z0-9+/_.=-]{16,})")
+_SECRET = re.compile(r"(?:token|secret|passw(?:or)?d|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential)s?[\"']?\x20{0,3}$",
+                     re.IGNORECASE)
+ENTROPY = 3.0                                 # bits a character that a secret has at least
+_ANY = re.compile(r"[0-9@=:]")
 
 
 def luhn(digits: str) -> bool:
@@ -117,12 +125,11 @@ def _accounts(text: str) -> Iterator[tuple[int, int]]:
     at = 0
     while m := _IBAN.search(text, at):
         start, at = m.start(), m.start() + 4
-        # the words behind an account may look like more of it: all ends at a
-        # word boundary are tried, first the country's length, then the longest
+        # the words behind an account may look like more of it: the end at a
+        # word boundary that gives a listed country's length counts
         ends = [(account, end) for end in range(m.end(), start + 14, -1)
                 if text[end - 1] != " " and text[end:end + 1] not in _ALNUM
-                and len(account := text[start:end].replace(" ", "")) >= 15]
-        ends.sort(key=lambda x: len(x[0]) != LENGTHS.get(x[0][:2]))
+                and len(account := text[start:end].replace(" ", "")) == LENGTHS.get(account[:2])]
         for account, end in ends:
             if mod97(account):
                 yield start, end
@@ -137,8 +144,20 @@ def _numbers(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def entropy(value: str) -> float:
+    """Bits a character by the value's own frequencies."""
+    counts = [value.count(c) / len(value) for c in set(value)]
+    return -sum(p * math.log2(p) for p in counts)
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    for m in _VALUE.finditer(text):
+        if _SECRET.search(text, max(0, m.start() - NEAR), m.start()) and entropy(m[1]) >= ENTROPY:
+            yield m.span(1)
+
+
 FINDERS = {"email": _emails, "ip": _addresses, "card": _cards, "phone": _phones,
-           "iban": _accounts, "ssn": _numbers}
+           "iban": _accounts, "ssn": _numbers, "secret": _secrets}
 
 
 def context_score(text: str, kind: str, start: int, end: int) -> float:
@@ -209,5 +228,6 @@ def op8(spark, sf_dir):
     found = scan(table(spark, sf_dir, "documents"))
     count = {k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE}
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    scores = F.array_join(F.transform("spans", lambda s: F.round(s["score"], 6).cast("string")), ",")
     return found.select("doc_id", *count.values(), F.sha2(_joined(base), 256).alias("base_sha256"),
-                        _joined(F.col("spans")).alias("spans"))
+                        _joined(F.col("spans")).alias("spans"), scores.alias("scores"))
