@@ -206,8 +206,8 @@ def m8(spark, sf):
 @query("M9_random_search_validation")
 def m9(spark, sf):
     vtr, vva, _, _ = vectors(spark, sf)
-    trials = TR.draw_trials(4, 42, TR.SEARCH_SPACE)
-    return TR.random_search_val(vtr, vva, trials, patience=20)
+    trials = TR.draw_trials(20, 42, TR.SEARCH_SPACE)
+    return TR.random_search_val(vtr, vva, trials, patience=20, parallelism=8)
 
 
 def _cv_vectors(spark, sf):
