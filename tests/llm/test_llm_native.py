@@ -260,6 +260,30 @@ def test_mix_rows(edge):
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in again.collect()]
 
 
+def test_mix_positions(spark):
+    rows = [(i, s, "w " * n) for s, n in (("a", 3), ("b", 1), ("c", 2), ("d", 1)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    total, target = brute_mix([(i, s, len(words(t))) for i, s, t in rows])
+    whole = sum(target.values())
+
+    def area(knots, t):  # trapezoids up to t, of all of them
+        def upto(t):
+            parts = [(t0, min(t1, t), w0, w0 + (w1 - w0) * (min(t1, t) - t0) / (t1 - t0))
+                     for (t0, w0), (t1, w1) in zip(knots, knots[1:]) if t > t0]
+            return sum((b - a) * (x + y) / 2 for a, b, x, y in parts)
+        return upto(t) / upto(1.0)
+
+    got = mixing.plan_mix(docs).where("copies > 0").collect()
+    assert got
+    for r in got:
+        due = sum(target[s] * area(mixing.SCHEDULES[i % 3], r.first_time) for i, s in enumerate(sorted(target)))
+        assert abs(r.first_position - due) < 1e-5 * whole
+    # equal spans of positions hold equal numbers of words
+    parts = mixing.mix(docs, num_partitions=4).select(F.spark_partition_id().alias("p"), F.size(F.split(F.trim("text"), " ")).alias("n"))
+    taken = [r.n for r in parts.groupBy("p").agg(F.sum("n").alias("n")).collect()]
+    assert len(taken) == 4 and max(taken) - min(taken) <= 0.02 * sum(taken)
+
+
 def test_schedules(spark):
     row = spark.range(1001).select((F.col("id") / 1000).alias("t"))
     for knots in (*mixing.SCHEDULES, ((0.0, 0.0), (0.4, 0.0), (1.0, 3.0))):
