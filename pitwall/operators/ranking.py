@@ -50,9 +50,10 @@ def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Colum
                          .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     prior = Window.partitionBy(*[f"_g{i}" for i in range(len(group))]).orderBy("_p").rowsBetween(
         Window.unboundedPreceding, -1)
-    stats = (ranged.groupBy(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
-             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-             .withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))))
+    # written: the join knows its size and leaves the ranked rows where they are
+    stats = write_table(ranged.groupBy(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
+                        .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+                        .withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))), "rank_offsets")
     on = ranged["_pid"] == stats["_p"]
     for i, g in enumerate(group):
         on = on & ranged[g].eqNullSafe(stats[f"_g{i}"])

@@ -19,6 +19,7 @@ from pitwall import constants as K
 from pitwall.functions import scalars as S
 from pitwall.operators.quantiles import exact_quantiles
 from pitwall.operators.ranking import row_number_within
+from pitwall.session import write_table
 
 
 # ------------------------------------------------------------------ W1/W2
@@ -108,7 +109,8 @@ def race_targets(df: DataFrame, finish: str = "FinishTime_s",
     partial aggregation map-side); ``DeltaFromAhead_s`` = gap to the finisher
     one position ahead (keyed self-join on ``Position - 1``)."""
     race = list(race)
-    means = df.groupBy(*race).agg(F.avg(finish).alias("_race_avg"))
+    # written: the join knows its size and leaves ``df`` where it is
+    means = write_table(df.groupBy(*race).agg(F.avg(finish).alias("_race_avg")), "race_means")
     ahead = df.select(*race, (F.col(position) + 1).alias(position),
                       F.col(finish).alias("_ahead"))
     return (df.join(means, race)

@@ -9,7 +9,7 @@ from pitwall import constants as K
 from pitwall.functions import scalars as S
 from pitwall.operators import windows as W
 from pitwall.session import write_table
-from pitwall.sources.rig import race_entries
+from pitwall.sources.rig import ENTRY_COLUMNS, entry_rows, race_rows
 
 
 def add_quali_features(df: DataFrame) -> DataFrame:
@@ -35,18 +35,34 @@ def normalize_minimal(df: DataFrame, rain_mode: str = "tokens") -> DataFrame:
     return df.withColumns(out)
 
 
+def _texts(df: DataFrame) -> DataFrame:
+    """ParsedTime_s, RainRaw and Rain 0/1: column expressions."""
+    if "Time" in df.columns:
+        df = df.withColumn("ParsedTime_s", S.timedelta_to_seconds("Time"))
+    return df.withColumn("RainRaw", F.col("Rain")).withColumn("Rain", S.normalize_rain("Rain"))
+
+
 def race_features(entries: DataFrame) -> DataFrame:
     """Entries -> cleaned names, AvgQualiTime, Rain 0/1, PointsProp, target,
     prior form.  Every step is a column expression or a keyed window."""
-    df = add_quali_features(entries)
-    df = W.race_targets(df)
+    df = W.race_targets(add_quali_features(entries))
     # Per-driver windows first: their hash partitioning on DriverId also
     # satisfies the (Season, DriverId) windows after them -> one shuffle.
-    df = W.prior_form(df)
-    df = W.points_prop(df)
-    if "Time" in df.columns:
-        df = df.withColumn("ParsedTime_s", S.timedelta_to_seconds("Time"))
-    return df.withColumn("RainRaw", F.col("Rain")).withColumn("Rain", S.normalize_rain("Rain"))
+    return _texts(W.points_prop(W.prior_form(df)))
+
+
+def feature_rows(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """``race_features`` of the rig's entries: joins and windows run over the
+    narrow entries, texts and race columns come after them."""
+    base, grid, races = entry_rows(spark, sf_dir, grain)
+    # the targets' self-join leaves the rows hashed by (Season, Round, Position)
+    df = W.race_targets(base).join(grid, [*K.RACE, "Position"])
+    df = W.points_prop(W.prior_form(df))
+    made = [c for c in df.columns if c not in ENTRY_COLUMNS and c not in base.columns]
+    out = _texts(add_quali_features(race_rows(df, races)))
+    first = [*K.RACE, "Position"]
+    return out.select(*[F.col(f"`{c}`") for c in (*first, *[c for c in ENTRY_COLUMNS if c not in first],
+                                                  "DriverRaw", "AvgQualiTime", *made, "ParsedTime_s", "RainRaw")])
 
 
 _TABLES: dict = {}
@@ -69,10 +85,10 @@ def race_table(spark: SparkSession, sf_dir: str, grain: str = "nation",
     dominated the ML jobs); and season filters / column selections prune
     the scan.  Within one Spark application the table is reused."""
     if not materialize:
-        return race_features(race_entries(spark, sf_dir, grain))
+        return feature_rows(spark, sf_dir, grain)
     memo = (spark.sparkContext.applicationId, sf_dir, grain)
     if memo not in _TABLES:
-        _TABLES[memo] = write_table(race_features(race_entries(spark, sf_dir, grain)),
+        _TABLES[memo] = write_table(feature_rows(spark, sf_dir, grain),
                                     f"race_features_{grain}", ["Season"])
     return _TABLES[memo]
 

@@ -12,8 +12,9 @@ Plan shape (one pass over each table):
 2. ``orders`` joined with ``customer`` and the per-order aggregate, both on
    keys; the per-order side is already hash-partitioned on the order key.
 3. group to entries ``(Season, Round, driver)`` — first-order fields via
-   ``min_by`` so no second lineitem scan is needed.
-4. group entries to races (tiny) for weather/tyre shares; join back.
+   ``min_by`` so no second lineitem scan is needed; written once.
+4. group entries to races (tiny) for weather/tyre shares; written, and joined
+   last, with the texts, so that only narrow rows are ranked and shuffled.
 
 Two grains: ``"nation"`` (25 drivers with deep history) and ``"customer"``
 (driver count grows with the scale factor).
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from pitwall import constants as K
 from pitwall.operators.ranking import row_number_within
-from pitwall.session import reuse
+from pitwall.session import write_table
 
 # FIXED VALUES: per-race weather token list of the rig (index = raceid mod 15).
 RIG_RAIN_TOKENS = ("rain", "yes", "raining", "norain", "no", "no rain", "no_rain",
@@ -90,8 +91,11 @@ def per_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    """One row per (Season, Round, DriverNumber) with raw race columns."""
+def entry_rows(spark: SparkSession, sf_dir: str, grain: str = "nation") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(entries, grid, races)``: the narrow entries with their finishing
+    Position and Points, the GridPosition of every (Season, Round, Position)
+    and the weather and tyre shares of every race.  ``race_rows`` adds the
+    texts and the race columns, so they need not travel with the entries."""
     if grain not in ("nation", "customer"):
         raise ValueError(f"unknown grain {grain!r}")
     o = read_table(spark, sf_dir, "orders").select(
@@ -120,10 +124,9 @@ def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> Dat
         *[F.min_by(f"p{i}", "o_orderkey").alias(f"p{i}") for i in (1, 2, 3)],
         *[F.sum(s).alias(s) for s in sums],
     )
-    # Persist once: the entry table feeds the race aggregate, two rankings and
-    # the final join, and must not re-run the lineitem/orders aggregation for
-    # each of them (deterministic, so a lost partition recomputes identically).
-    entries = reuse(entries)
+    # Written once: the entry table feeds the race aggregate and the ranking,
+    # and must not re-run the lineitem/orders aggregation for each of them.
+    entries = write_table(entries, "entries")
     races = entries.groupBy("Season", "Round").agg(*[F.sum(s).alias(s) for s in sums])
     raceid = F.col("Season") * 100 + F.col("Round")
     tokens = F.array(*[F.lit(t).cast("string") for t in RIG_RAIN_TOKENS])
@@ -143,30 +146,47 @@ def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> Dat
         (F.col("li_wet") / F.col("li_n")).alias("WET"),
         F.try_element_at(tokens, (F.pmod(raceid, F.lit(15)) + 1).cast("int")).alias("Rain"),
     )
-    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 100)))
+    # one row per race, written: its size is known to the joins
+    races = write_table(races, "races")
     # Positions: bounded grids (nation grain: <= 25 per race) use a window;
     # the customer grain grows with the data, so its races are ranked in ranges.
-    base = entries.join(n, F.col("team_key") == F.col("n_nationkey"))
+    base = (entries.drop(*sums).where("Season IS NOT NULL AND Round IS NOT NULL")
+            .join(n, F.col("team_key") == F.col("n_nationkey")).drop("team_key", "n_nationkey"))
     method = "window" if grain == "nation" else "range"
     base = row_number_within(base, ["Season", "Round"], ["FinishTime_s", "DriverNumber"],
                              out="Position", method=method)
-    base = row_number_within(base, ["Season", "Round"], ["first_order", "DriverNumber"],
-                             out="GridPosition", method=method)
-    out = (base.join(races, ["Season", "Round"])
-           .select(
-               "Season", "Round", "DriverNumber",
-               F.concat(F.lit("drv_"), F.col("DriverNumber").cast("string")).alias("DriverId"),
-               F.concat(cap, F.lit("Racer"), F.upper(F.substring("n_name", 1, 3))).alias("Driver"),
-               F.col("n_name").alias("TeamName"),
-               (F.when(F.col("status_code") == 1, "Finished")
-                 .when(F.col("status_code") == 2, "Lapped")
-                 .when(F.pmod(F.col("first_order"), F.lit(2)) == 1, "Retired")).alias("Status"),
-               "FinishTime_s", timedelta_text(F.col("FinishTime_s")).alias("Time"),
-               "first_order", "Laps", "Position", "GridPosition",
-               *[_lap_text(F.col(f"p{i}"), F.col("first_order"), i).alias(f"Q{i}") for i in (1, 2, 3)],
-               *K.WEATHER_COLUMNS, "WindDirection_deg", *K.TYRES, "Rain",
-           ))
+    # a race's positions are unique: only the keys are ranked a second time
+    grid = row_number_within(base.select("Season", "Round", "Position", "first_order", "DriverNumber"),
+                             ["Season", "Round"], ["first_order", "DriverNumber"], out="GridPosition",
+                             method=method).select("Season", "Round", "Position", "GridPosition")
     scale = F.array(*[F.lit(p) for p in K.POINTS_SCALE])
-    return out.withColumn(
-        "Points",
-        F.coalesce(F.try_element_at(scale, F.col("Position").cast("int")), F.lit(0)).cast("double"))
+    base = base.withColumn("DriverId", F.concat(F.lit("drv_"), F.col("DriverNumber").cast("string"))).withColumn(
+        "Points", F.coalesce(F.try_element_at(scale, F.col("Position").cast("int")), F.lit(0)).cast("double"))
+    return base, grid, races
+
+
+ENTRY_COLUMNS = ("Season", "Round", "DriverNumber", "DriverId", "Driver", "TeamName", "Status", "FinishTime_s", "Time",
+                 "first_order", "Laps", "Position", "GridPosition", "Q1", "Q2", "Q3", *K.WEATHER_COLUMNS,
+                 "WindDirection_deg", *K.TYRES, "Rain", "Points")
+
+
+def race_rows(entries: DataFrame, races: DataFrame) -> DataFrame:
+    """``ENTRY_COLUMNS`` of narrow entries (with GridPosition), then whatever else they have."""
+    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 100)))
+    out = entries.join(races, ["Season", "Round"]).withColumns({
+        "Driver": F.concat(cap, F.lit("Racer"), F.upper(F.substring("n_name", 1, 3))),
+        "TeamName": F.col("n_name"),
+        "Status": (F.when(F.col("status_code") == 1, "Finished")
+                   .when(F.col("status_code") == 2, "Lapped")
+                   .when(F.pmod(F.col("first_order"), F.lit(2)) == 1, "Retired")),
+        "Time": timedelta_text(F.col("FinishTime_s")),
+        **{f"Q{i}": _lap_text(F.col(f"p{i}"), F.col("first_order"), i) for i in (1, 2, 3)}})
+    raw = ("n_name", "status_code", "p1", "p2", "p3")
+    return out.select(*[F.col(f"`{c}`") for c in (*ENTRY_COLUMNS, *[
+        c for c in entries.columns if c not in ENTRY_COLUMNS and c not in raw])])
+
+
+def race_entries(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """One row per (Season, Round, DriverNumber) with raw race columns."""
+    base, grid, races = entry_rows(spark, sf_dir, grain)
+    return race_rows(base.join(grid, ["Season", "Round", "Position"]), races)
