@@ -86,7 +86,12 @@ def override_values(df: DataFrame, overrides: DataFrame, col: str = "PointsProp"
 
 
 # --------------------------------------------------------------------- J9
-def dependence_table(values_long: DataFrame, contrib_long: DataFrame, key: Sequence[str],
+def dependence_table(values: DataFrame, contrib: DataFrame, key: Sequence[str], features: Sequence[str],
                      feature: str = "feature") -> DataFrame:
-    """Feature value paired with its contribution per row: equi-join on (key, feature)."""
-    return values_long.join(contrib_long, [*key, feature])
+    """Feature value paired with its contribution per row: equi-join of the
+    wide rows on ``key``, long rows ``(key, feature)`` after it."""
+    cols = [F.col(f"`{c}`") for c in features]
+    both = values.select(*key, F.struct(*cols).alias("_v")).join(contrib.select(*key, F.struct(*cols).alias("_c")), list(key))
+    return both.select(*key, F.inline(F.array(*[
+        F.struct(F.lit(c).alias(feature), F.col("_v")[c].alias("value"), F.col("_c")[c].alias("contribution"))
+        for c in features])))

@@ -284,9 +284,8 @@ SELECT v.Season, v.Round, v.DriverNumber, v.feature, round(v.value, 6) AS value,
 FROM vals v JOIN contrib c USING (Season, Round, DriverNumber, feature)""")
 def j9(spark, sf):
     f = feat(spark, sf)
-    vals = f.select(*KEYS, *[bq(c).cast("double").alias(c) for c in CONTRIB]) \
-            .unpivot(KEYS, list(CONTRIB), "feature", "value")
-    return R(J.dependence_table(vals, contributions_long(f), KEYS))
+    vals = f.select(*KEYS, *[bq(c).cast("double").alias(c) for c in CONTRIB])
+    return R(J.dependence_table(vals, contributions_wide(f), KEYS, CONTRIB))
 
 
 # ======================================================== A: aggregates

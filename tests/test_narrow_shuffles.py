@@ -1,6 +1,9 @@
 """Wide rows are shuffled once and narrow; the results are those of the long forms."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from pitwall.operators import joins as J
 from pitwall.plans.features import feature_rows, race_features
 from pitwall.sources import rig
 
@@ -40,3 +43,16 @@ def test_feature_rows_travel_narrow(spark, tmp_path):
     below = optimized(feature_rows(spark, sf, "customer")).split("Window [", 1)[1]
     # texts and race columns come after the joins and windows; nothing is cached
     assert "AirTemp_C" not in below and " days " not in below and "InMemoryRelation" not in below
+
+
+def test_dependence_table_joins_wide_rows(spark):
+    keys, names = ["s", "r"], ["a", "b", "c%"]
+    wide = [(1, 1, 1.0, None, 3.0), (1, 2, 4.0, 5.0, 6.0), (1, 2, 7.0, 8.0, 9.0), (None, 3, 1.0, 1.0, 1.0), (2, 5, 0.0, 0.5, 2.0)]
+    v = spark.createDataFrame(wide, "s int, r int, a double, b double, `c%` double")
+    c = spark.createDataFrame([(*r[:2], *[None if x is None else -x for x in r[2:]]) for r in wide[:4]], v.schema)
+    got = J.dependence_table(v, c, keys, names)
+    want = v.unpivot(keys, [F.col(f"`{n}`") for n in names], "feature", "value").join(
+        c.unpivot(keys, [F.col(f"`{n}`") for n in names], "feature", "contribution"), [*keys, "feature"])
+    assert got.columns == ["s", "r", "feature", "value", "contribution"]
+    assert rows(got) == rows(want.select(got.columns)) and got.count() == 15
+    assert "Generate" in optimized(got).split("Join ")[0]      # long only after the join
