@@ -148,10 +148,15 @@ def tertile_label(df: DataFrame, value: str, out: str,
 
 
 # --------------------------------------------------------------------- W7
-def top_k_per_row(long_df: DataFrame, key: Sequence[str], k: int,
+def top_k_per_row(wide: DataFrame, key: Sequence[str], features: Sequence[str], k: int,
                   feature: str = "feature", value: str = "contribution",
                   out: str = "rank") -> DataFrame:
-    """The ``k`` largest |value| per row key (ties by feature name)."""
+    """The ``k`` largest |value| per row key (ties by feature name) of
+    the columns ``features``.  The wide rows meet by key before they become
+    long, so a row is shuffled once and not once a feature."""
+    n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long = wide.repartition(n, *key).select(*key, F.inline(F.array(*[
+        F.struct(F.lit(c).alias(feature), F.col(f"`{c}`").alias(value)) for c in features])))
     w = Window.partitionBy(*key).orderBy(F.abs(F.col(value)).desc(), F.col(feature))
-    return (long_df.withColumn(out, F.row_number().over(w).cast("bigint"))
-                   .filter(F.col(out) <= k))
+    return (long.withColumn(out, F.row_number().over(w).cast("bigint"))
+                .filter(F.col(out) <= k))

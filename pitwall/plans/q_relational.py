@@ -613,7 +613,7 @@ SELECT {KEY_SQL}, feature, round(contribution, 6) AS contribution,
        row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY ABS(contribution) DESC, feature) AS rank
 FROM contrib QUALIFY rank <= 10""")
 def w7(spark, sf):
-    return R(W.top_k_per_row(contributions_long(feat(spark, sf)), KEYS, 10))
+    return R(W.top_k_per_row(contributions_wide(feat(spark, sf)), KEYS, CONTRIB, 10))
 
 
 # ==================================================== T: sorts / samples

@@ -4,6 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pitwall.operators import joins as J
+from pitwall.operators import windows as W
 from pitwall.plans.features import feature_rows, race_features
 from pitwall.sources import rig
 
@@ -56,3 +57,15 @@ def test_dependence_table_joins_wide_rows(spark):
     assert got.columns == ["s", "r", "feature", "value", "contribution"]
     assert rows(got) == rows(want.select(got.columns)) and got.count() == 15
     assert "Generate" in optimized(got).split("Join ")[0]      # long only after the join
+
+
+def test_top_k_shuffles_wide_rows(spark):
+    data = [(1, 3.0, -4.0, 4.0, None), (1, 9.0, 0.0, 1.0, 2.0), (2, 1.0, 1.0, 1.0, 1.0), (None, 1.0, 2.0, 3.0, 4.0)]
+    df = spark.createDataFrame(data, "k int, a double, b double, c double, d double")
+    got = rows(W.top_k_per_row(df, ["k"], ["a", "b", "c", "d"], 3))
+    want = []
+    for key in (1, 2, None):
+        long = [(n, x) for r in data if r[0] == key for n, x in zip("abcd", r[1:])]
+        long.sort(key=lambda p: (p[1] is None, -abs(p[1] or 0.0), p[0]))
+        want += [(key, n, x, i + 1) for i, (n, x) in enumerate(long[:3])]
+    assert got == sorted(want, key=repr)
