@@ -1,8 +1,8 @@
 """Results-table extraction from HTML pages.
 
 Only the parser runs in Python (``mapInPandas`` over Arrow batches of
-``(page_id, html)``); it emits long cells ``(page_id, row, col, header,
-text)`` and the pivot back to wide rows is native Spark.
+``(page_id, html)``); it emits a page's headers and rows of texts, and the
+wide rows are native Spark, with one shuffle for pages that share an id.
 Rules: headers are the ``thead th`` texts; body rows are ``tbody tr``; a
 short row yields '' for the missing cells; a header containing "driver"
 (case-insensitive) has its cells cleaned like driver names; duplicate
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pitwall.functions.scalars import clean_driver_name
 from pitwall.session import ensure_python_package
 
-CELL_SCHEMA = "page_id long, row int, col int, header string, text string"
+PAGE_SCHEMA = "page_id long, headers array<string>, rows array<array<string>>"
 
 
 class _TableParser(html.parser.HTMLParser):
@@ -68,25 +68,30 @@ def _parse(batches):
         for pid, doc in zip(pdf["page_id"], pdf["html"]):
             p = _TableParser()
             p.feed(doc or "")
-            for r, cells in enumerate(p.rows):
-                for c, h in enumerate(p.headers):
-                    out.append((int(pid), r, c, h, cells[c] if c < len(cells) else ""))
-        yield pd.DataFrame(out, columns=["page_id", "row", "col", "header", "text"])
+            out.append((int(pid), p.headers, p.rows))
+        yield pd.DataFrame(out, columns=["page_id", "headers", "rows"])
 
 
-def extract_cells(pages: DataFrame) -> DataFrame:
+def extract_pages(pages: DataFrame) -> DataFrame:
     ensure_python_package(pages.sparkSession)
-    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_parse, CELL_SCHEMA)
+    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_parse, PAGE_SCHEMA)
 
 
 def extract_tables(pages: DataFrame, headers: list[str]) -> DataFrame:
     """Wide rows ``(page_id, row, *headers)`` with the driver-cleaning rule."""
-    cells = extract_cells(pages)
-    text = F.when(F.lower("header").contains("driver"), clean_driver_name("text")).otherwise(F.col("text"))
-    # duplicate headers collapse: the last column with that header wins
-    last = cells.withColumn("_t", text).groupBy("page_id", "row", "header").agg(
-        F.max_by("_t", "col").alias("_t"))
-    return last.groupBy("page_id", "row").pivot("header", headers).agg(F.first("_t"))
+    rows = extract_pages(pages).where(F.size("headers") > 0).select(
+        "page_id", "headers", F.posexplode("rows").alias("row", "_cells"))
+    found = []
+    for i, h in enumerate(headers):
+        # duplicate headers collapse: the last column with that header wins
+        at = F.size("headers") + 1 - F.array_position(F.reverse("headers"), h)
+        text = F.coalesce(F.get("_cells", (at - 1).cast("int")), F.lit(""))
+        if "driver" in h.lower():
+            text = clean_driver_name(text)
+        found += [F.when(F.array_contains("headers", h), at).alias(f"_at{i}"),
+                  F.when(F.array_contains("headers", h), text).alias(f"_t{i}")]
+    return rows.select("page_id", "row", *found).groupBy("page_id", "row").agg(*[
+        F.max_by(f"_t{i}", f"_at{i}").alias(h) for i, h in enumerate(headers)])
 
 
 def table_html(rows: DataFrame, page_id_col: str, order_col: str, headers: list[str]) -> DataFrame:

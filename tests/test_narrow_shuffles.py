@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pitwall.operators import joins as J
 from pitwall.operators import windows as W
 from pitwall.plans.features import feature_rows, race_features
+from pitwall.sources import html_tables as H
 from pitwall.sources import rig
 
 
@@ -69,3 +70,14 @@ def test_top_k_shuffles_wide_rows(spark):
         long.sort(key=lambda p: (p[1] is None, -abs(p[1] or 0.0), p[0]))
         want += [(key, n, x, i + 1) for i, (n, x) in enumerate(long[:3])]
     assert got == sorted(want, key=repr)
+
+
+def test_extract_tables_with_one_shuffle(spark):
+    page = ("<table><thead><tr><th>No.</th><th>Driver</th><th>No.</th></tr></thead><tbody>"
+            "<tr><td>1</td><td> Max VerstappenVER</td><td>x</td></tr><tr><td>2</td></tr></tbody></table>")
+    pages = spark.createDataFrame([(1, page), (2, page), (2, page), (3, None), (4, "<tbody><tr><td>1</td></tr></tbody>")],
+                                  "page_id long, html string")
+    got = H.extract_tables(pages, ["No.", "Driver", "Laps"])
+    one = [(0, "x", "Max Verstappen", None), (1, "", "", None)]
+    assert rows(got) == [(p, *r) for p in (1, 2) for r in one]
+    assert optimized(got).count("Aggregate [") == 1
