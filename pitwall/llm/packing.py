@@ -10,7 +10,8 @@ them (kept only if it needs fewer sequences).  A few rounds end it.
 
 Tokens.  ``tokenizers`` encodes words, not texts: for this tokenizer a text's
 ids are those of its white-space separated parts, one after another, so each
-worker keeps the ids of the parts it has met and a batch is a lookup.
+worker keeps the ids of the parts it has met and a batch is a lookup.  What a
+worker keeps lies in flat arrays, bounded in strings and in bytes.
 
 Scale.  Token ids never leave the worker that made them, only lengths and
 checksums do; groups hold ``GROUP`` pieces at most on average whatever the
@@ -23,7 +24,9 @@ extra columns are ignored; any text length is cut into pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,7 +46,9 @@ GROUP = 16384             # pieces of a group, on average
 RELEASE = GROUP // 8      # pieces that a group releases at most
 ROUNDS = 3                # exchanges
 SLICE = 6 << 20           # bytes of text encoded at once in a worker
-KNOWN = 1_000_000         # parts and words whose ids a worker keeps at most
+KNOWN = 1_000_000         # parts and words whose ids a worker keeps, and one slice's beyond
+KNOWN_BYTES = 64 << 20    # the same in bytes, of parts and of words
+AT_ONCE = 8192            # Python strings of one library call
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # Parts of only these characters are split here as the tokenizer's own rule
@@ -52,72 +57,100 @@ _PLAIN = regex.compile(r"[\x21-\x7EÀ-ÖØ-öø-įı-ňŊ-ž]+")
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+class Known:
+    """Distinct strings and their token ids in flat arrays, some 40 bytes a
+    string; ``make`` gives sizes and ids of strings that are not known yet."""
+
+    def __init__(self, make):
+        self.make = make
+        self.forget()
+
+    def forget(self) -> None:
+        self.strings = pa.array([], pa.string())
+        self.start, self.ids = np.zeros(1, np.int64), np.empty(0, np.uint32)
+
+    def trim(self, known: int) -> None:
+        if len(self.strings) > known or self.strings.nbytes + self.ids.nbytes > KNOWN_BYTES:
+            self.forget()
+
+    def places(self, distinct: pa.Array) -> np.ndarray:
+        at = pc.index_in(distinct, value_set=self.strings)
+        new = pc.is_null(at)
+        out = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        if at.null_count:
+            strings = distinct.filter(new)
+            size, ids = self.make(strings)
+            out[new.to_numpy(zero_copy_only=False)] = len(self.strings) + np.arange(len(strings))
+            self.ids = np.concatenate([self.ids, ids])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+            self.strings = pa.concat_arrays([self.strings, strings])
+        return out
+
+    def take(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids at all places, one after another; where each starts (and the
+        end of the last)."""
+        start = self.start[place]
+        size = self.start[place + 1] - start
+        end = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(start - end[:-1], size)
+        at += np.arange(end[-1])
+        return self.ids[at], end
+
+
 class Encoder:
     """Token ids of texts; keeps the ids of parts (between white space) and of
     words (what the tokenizer's pattern splits a part into)."""
 
     def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer, self.known = Tokenizer.from_file(path), known
-        self.words: dict[str, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.parts = pa.array([], pa.string())
-        self.start, self.ids = np.zeros(1, np.int64), np.empty(0, np.uint32)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: pa.Array) -> None:
-        new = parts.to_pylist()
-        split = [_SPLIT.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None for p in new]
-        if len(self.words) > self.known:
-            self.words.clear()
-        missing = list({w for s in split if s for w in s if w not in self.words})
-        self.words.update(zip(missing, self._encode(missing)))
-        whole = iter(self._encode([p for p, s in zip(new, split) if s is None]))
-        ids = [next(whole) if s is None else b"".join([self.words[w] for w in s]) for s in split]
-        if len(self.parts) + len(new) > self.known:
-            raise OverflowError
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-        self.parts = pa.concat_arrays([self.parts, parts])
-
-    def _places(self, distinct: pa.Array) -> np.ndarray:
-        at = pc.index_in(distinct, value_set=self.parts)
-        if at.null_count:
-            self._learn(distinct.filter(pc.is_null(at)))
-            at = pc.index_in(distinct, value_set=self.parts)
-        return at.to_numpy()
+        self.parts, self.words = Known(self._parts), Known(self._words)
+
+    def _words(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        size, ids = [], [np.empty(0, np.uint32)]
+        for a in range(0, len(strings), AT_ONCE):
+            got = self.tokenizer.encode_batch_fast(strings.slice(a, AT_ONCE).to_pylist(), add_special_tokens=False)
+            some = [e.ids for e in got]
+            size.extend(map(len, some))
+            ids.append(np.fromiter(chain.from_iterable(some), np.uint32))
+        return np.array(size, np.int64), np.concatenate(ids)
+
+    def _parts(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain, count, words = [], [], []
+        for a in range(0, len(strings), AT_ONCE):
+            split = [_SPLIT.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None
+                     for p in strings.slice(a, AT_ONCE).to_pylist()]
+            plain.extend(s is not None for s in split)
+            split = [s for s in split if s is not None]
+            count.extend(map(len, split))
+            words.append(pa.array(list(chain.from_iterable(split)), pa.string()))
+        coded, plain = pa.concat_arrays(words).dictionary_encode(), np.array(plain, bool)
+        self.words.trim(self.known)
+        got, end = self.words.take(self.words.places(coded.dictionary)[coded.indices.to_numpy()])
+        whole_size, whole = self._words(strings.filter(pa.array(~plain)))
+        size = np.empty(len(plain), np.int64)
+        size[plain], size[~plain] = np.diff(end[np.concatenate([[0], np.cumsum(count, dtype=np.int64)])]), whole_size
+        ids, split_up = np.empty(size.sum(), np.uint32), np.repeat(plain, size)
+        ids[split_up], ids[~split_up] = got, whole
+        return size, ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts, one after another; where each text starts (and
         the end of the last)."""
         split = pc.ascii_split_whitespace(texts)
-        flat = split.flatten()
         # leading and trailing white space leave empty parts, which have no ids
-        coded = flat.dictionary_encode()
-        try:
-            place = self._places(coded.dictionary)
-        except OverflowError:
-            self._forget()
-            known, self.known = self.known, 1 << 62  # a slice's own parts always fit
-            place = self._places(coded.dictionary)
-            self.known = known
-        place = place[coded.indices.to_numpy()]
-        start, size = self.start[place], self.start[place + 1] - self.start[place]
-        end = np.concatenate([[0], np.cumsum(size)])
-        take = np.repeat(start - end[:-1], size) + np.arange(end[-1])
+        coded = split.flatten().dictionary_encode()
+        self.parts.trim(self.known)
+        ids, end = self.parts.take(self.parts.places(coded.dictionary)[coded.indices.to_numpy()])
         offsets = split.offsets.to_numpy().astype(np.int64)
-        return self.ids[take], end[offsets - offsets[0]]
+        return ids, end[offsets - offsets[0]]
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    # Spark runs a worker per core; the library's own threads would only cost memory
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -164,6 +197,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
                     cols.append(pa.array([x.astype(np.int32) for x in got], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+                pa.default_memory_pool().release_unused()  # what the slice took goes back
 
     ensure_python_package(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -3,8 +3,10 @@ pipeline against brute force."""
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -204,6 +206,32 @@ def test_encoder_equals_tokenizer():
                 assert list(ids[at[k]:at[k + 1]]) == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_encoder_keeps_little_memory(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    packing.encoder(packing.TOKENIZER)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"  # no threads of the library beside Spark's
+    n = 40_000
+    texts = pa.array([f"word{''.join(chr(97 + k // 26 ** j % 26) for j in range(4))}" for k in range(n)])
+    enc = packing.Encoder(packing.TOKENIZER)
+    tracemalloc.start()
+    try:
+        ids, at = enc.encode(texts)
+        n_ids = len(ids)
+        del ids, at
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    # start and ids of parts and of words, no object for each of them
+    assert kept < 2 * (8 * n + 4 * n_ids) + 500_000, kept
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 300_000, raising=False)
+    tok = Tokenizer.from_file(packing.TOKENIZER)
+    enc = packing.Encoder(packing.TOKENIZER)
+    for k in range(20):  # few parts, long ones: bytes are bounded too
+        text = f"{k}x" * 50_000
+        assert list(enc.encode(pa.array([text]))[0]) == tok.encode(text, add_special_tokens=False).ids
+        assert enc.parts.strings.nbytes + enc.words.strings.nbytes < 1_000_000
+
+
 def test_sequences_hold_the_ids(sample):
     ids = packing.write_table(packing.pieces(sample, with_ids=True), "test-ids")
     packed = packing.pack(packing.write_table(ids.drop("ids"), "test-packed"))
