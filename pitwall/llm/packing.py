@@ -10,8 +10,8 @@ them (kept only if it needs fewer sequences).  A few rounds end it.
 
 Tokens.  ``tokenizers`` encodes words, not texts: for this tokenizer a text's
 ids are those of its white-space separated parts, one after another, so each
-worker keeps the ids of the parts it has met and a batch is a lookup.  What a
-worker keeps lies in flat arrays, bounded in strings and in bytes.
+worker encodes the distinct parts of a slice of texts, from the ids of the
+words it has met.  These lie in flat arrays, bounded in words and in bytes.
 
 Scale.  Token ids never leave the worker that made them, only lengths and
 checksums do; groups hold ``GROUP`` pieces at most on average whatever the
@@ -46,9 +46,10 @@ GROUP = 16384             # pieces of a group, on average
 RELEASE = GROUP // 8      # pieces that a group releases at most
 ROUNDS = 3                # exchanges
 SLICE = 6 << 20           # bytes of text encoded at once in a worker
-KNOWN = 1_000_000         # parts and words whose ids a worker keeps, and one slice's beyond
-KNOWN_BYTES = 64 << 20    # the same in bytes, of parts and of words
-AT_ONCE = 8192            # Python strings of one library call
+KNOWN = 1_000_000         # words whose ids a worker keeps, and one slice's beyond
+KNOWN_BYTES = 64 << 20    # the same in bytes
+AT_ONCE = 8192            # strings handled as Python objects or wide numbers at once
+ROWS = 500                # rows that Spark sends to a worker at once
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # Parts of only these characters are split here as the tokenizer's own rule
@@ -57,6 +58,20 @@ _PLAIN = regex.compile(r"[\x21-\x7EÀ-ÖØ-öø-įı-ňŊ-ž]+")
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def take(start: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids of the strings at all places, one after another; where each starts
+    (and the end of the last)."""
+    end = np.zeros(len(place) + 1, np.int64)
+    np.cumsum(start[place + 1] - start[place], out=end[1:])
+    out = np.empty(end[-1], np.uint32)
+    for a in range(0, len(place), AT_ONCE):  # so that only the ids are as long as a slice
+        some, here = start[place[a:a + AT_ONCE]], end[a:a + AT_ONCE + 1]
+        at = np.repeat(some - here[:-1], np.diff(here))
+        at += np.arange(here[0], here[-1])
+        out[here[0]:here[-1]] = ids[at]
+    return out, end
+
+
 class Known:
     """Distinct strings and their token ids in flat arrays, some 40 bytes a
     string; ``make`` gives sizes and ids of strings that are not known yet."""
@@ -86,24 +101,14 @@ class Known:
             self.strings = pa.concat_arrays([self.strings, strings])
         return out
 
-    def take(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids at all places, one after another; where each starts (and the
-        end of the last)."""
-        start = self.start[place]
-        size = self.start[place + 1] - start
-        end = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(start - end[:-1], size)
-        at += np.arange(end[-1])
-        return self.ids[at], end
-
 
 class Encoder:
-    """Token ids of texts; keeps the ids of parts (between white space) and of
-    words (what the tokenizer's pattern splits a part into)."""
+    """Token ids of texts; keeps the ids of words (what the tokenizer's pattern
+    splits a part between white space into)."""
 
     def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer, self.known = Tokenizer.from_file(path), known
-        self.parts, self.words = Known(self._parts), Known(self._words)
+        self.words = Known(self._words)
 
     def _words(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         size, ids = [], [np.empty(0, np.uint32)]
@@ -116,7 +121,7 @@ class Encoder:
 
     def _parts(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain, count, words = [], [], []
-        for a in range(0, len(strings), AT_ONCE):
+        for a in range(0, max(1, len(strings)), AT_ONCE):
             split = [_SPLIT.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None
                      for p in strings.slice(a, AT_ONCE).to_pylist()]
             plain.extend(s is not None for s in split)
@@ -125,7 +130,8 @@ class Encoder:
             words.append(pa.array(list(chain.from_iterable(split)), pa.string()))
         coded, plain = pa.concat_arrays(words).dictionary_encode(), np.array(plain, bool)
         self.words.trim(self.known)
-        got, end = self.words.take(self.words.places(coded.dictionary)[coded.indices.to_numpy()])
+        place = self.words.places(coded.dictionary)[coded.indices.to_numpy()]
+        got, end = take(self.words.start, self.words.ids, place)
         whole_size, whole = self._words(strings.filter(pa.array(~plain)))
         size = np.empty(len(plain), np.int64)
         size[plain], size[~plain] = np.diff(end[np.concatenate([[0], np.cumsum(count, dtype=np.int64)])]), whole_size
@@ -139,8 +145,8 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         # leading and trailing white space leave empty parts, which have no ids
         coded = split.flatten().dictionary_encode()
-        self.parts.trim(self.known)
-        ids, end = self.parts.take(self.parts.places(coded.dictionary)[coded.indices.to_numpy()])
+        size, ids = self._parts(coded.dictionary)
+        ids, end = take(np.concatenate([[0], np.cumsum(size)]), ids, coded.indices.to_numpy())
         offsets = split.offsets.to_numpy().astype(np.int64)
         return ids, end[offsets - offsets[0]]
 
@@ -156,6 +162,20 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _gathered(batches):
+    """Batches of SLICE bytes at most (or one that is larger), of smaller ones."""
+    held, size = [], 0
+    for b in batches:
+        if held and size + b.nbytes > SLICE:
+            held, size = pa.concat_batches(held), 0
+            yield held
+            held = []
+        held.append(b)
+        size += b.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _slices(texts: pa.Array):
     """Slices of about SLICE bytes each."""
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -174,7 +194,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids)."""
     def run(batches):
         enc = encoder(tokenizer)
-        for b in batches:
+        for b in _gathered(batches):
             doc_ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             null = np.isnan(doc_ids) if doc_ids.dtype.kind == "f" else None
             if null is not None:  # some id is null: keep exact values
@@ -304,7 +324,14 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(write_table(pieces(docs, tokenizer, capacity), "pieces"), capacity)
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(ROWS))  # an executor holds each task's batches twice, outside its heap
+    try:
+        rows = write_table(pieces(docs, tokenizer, capacity), "pieces")
+    finally:
+        conf.set(key, before)
+    return pack(rows, capacity)
 
 
 def sequences(packed: DataFrame, with_ids: DataFrame) -> DataFrame:
