@@ -11,7 +11,9 @@ them (kept only if it needs fewer sequences).  A few rounds end it.
 Tokens.  ``tokenizers`` encodes words, not texts: for this tokenizer a text's
 ids are those of its white-space separated parts, one after another, so each
 worker encodes the distinct parts of a slice of texts, from the ids of the
-words it has met.  These lie in flat arrays, bounded in words and in bytes.
+words it has met.  These lie in flat arrays, bounded in words and in bytes;
+Arrow splits a slice's parts into words, and the library encodes many new words
+as one text, in which each word's last token is marked.
 
 Scale.  Token ids never leave the worker that made them, only lengths and
 checksums do; groups hold ``GROUP`` pieces at most on average whatever the
@@ -33,7 +35,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -49,13 +50,14 @@ SLICE = 6 << 20           # bytes of text encoded at once in a worker
 KNOWN = 1_000_000         # words whose ids a worker keeps, and one slice's beyond
 KNOWN_BYTES = 64 << 20    # the same in bytes
 AT_ONCE = 8192            # strings handled as Python objects or wide numbers at once
+JOINED = 64               # words that the library encodes as one text
 ROWS = 500                # rows that Spark sends to a worker at once
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # Parts of only these characters are split here as the tokenizer's own rule
 # does (its pattern follows); all others are encoded whole by the tokenizer.
-_PLAIN = regex.compile(r"[\x21-\x7EÀ-ÖØ-öø-įı-ňŊ-ž]+")
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PLAIN = r"^[\x21-\x7EÀ-ÖØ-öø-įı-ňŊ-ž]+$"
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
 def take(start: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,33 +110,50 @@ class Encoder:
 
     def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer, self.known = Tokenizer.from_file(path), known
+        # ids that end a word: their tokens carry the suffix, all others do not
+        vocab, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.words = Known(self._words)
 
-    def _words(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        some = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = list(map(len, some))
+        return size, np.fromiter(chain.from_iterable(some), np.uint32, sum(size))
+
+    def _whole(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         size, ids = [], [np.empty(0, np.uint32)]
         for a in range(0, len(strings), AT_ONCE):
-            got = self.tokenizer.encode_batch_fast(strings.slice(a, AT_ONCE).to_pylist(), add_special_tokens=False)
-            some = [e.ids for e in got]
-            size.extend(map(len, some))
-            ids.append(np.fromiter(chain.from_iterable(some), np.uint32))
+            some, got = self._encode(strings.slice(a, AT_ONCE).to_pylist())
+            size.extend(some)
+            ids.append(got)
         return np.array(size, np.int64), np.concatenate(ids)
 
+    def _words(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_whole``, of words alone: many of them are one text of the library."""
+        size, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        for a in range(0, len(strings), AT_ONCE):
+            some = strings.slice(a, AT_ONCE).to_pylist()
+            _, got = self._encode([" ".join(some[k:k + JOINED]) for k in range(0, len(some), JOINED)])
+            ends = np.flatnonzero(self.last[got])
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer splits words otherwise than this module")
+            size.append(np.diff(ends, prepend=-1))
+            ids.append(got)
+        return np.concatenate(size), np.concatenate(ids)
+
     def _parts(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        plain, count, words = [], [], []
-        for a in range(0, max(1, len(strings)), AT_ONCE):
-            split = [_SPLIT.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None
-                     for p in strings.slice(a, AT_ONCE).to_pylist()]
-            plain.extend(s is not None for s in split)
-            split = [s for s in split if s is not None]
-            count.extend(map(len, split))
-            words.append(pa.array(list(chain.from_iterable(split)), pa.string()))
-        coded, plain = pa.concat_arrays(words).dictionary_encode(), np.array(plain, bool)
+        plain = pc.and_not(pc.match_substring_regex(strings, _PLAIN), pc.match_substring(strings, "<|"))
+        marked = pc.replace_substring_regex(pc.utf8_lower(strings.filter(plain)), _SPLIT, r"\0 ")
+        split = pc.split_pattern(pc.ascii_rtrim(marked, " "), " ")
+        coded = split.flatten().dictionary_encode()
         self.words.trim(self.known)
         place = self.words.places(coded.dictionary)[coded.indices.to_numpy()]
         got, end = take(self.words.start, self.words.ids, place)
-        whole_size, whole = self._words(strings.filter(pa.array(~plain)))
+        whole_size, whole = self._whole(strings.filter(pc.invert(plain)))
+        offsets, plain = split.offsets.to_numpy(), plain.to_numpy(zero_copy_only=False)
         size = np.empty(len(plain), np.int64)
-        size[plain], size[~plain] = np.diff(end[np.concatenate([[0], np.cumsum(count, dtype=np.int64)])]), whole_size
+        size[plain], size[~plain] = np.diff(end[offsets - offsets[0]]), whole_size
         ids, split_up = np.empty(size.sum(), np.uint32), np.repeat(plain, size)
         ids[split_up], ids[~split_up] = got, whole
         return size, ids

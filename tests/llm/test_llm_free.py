@@ -6,6 +6,7 @@ import itertools
 import os
 import random
 import re
+import sys
 import tracemalloc
 import zlib
 
@@ -232,6 +233,38 @@ def test_encoder_keeps_little_memory(monkeypatch):
         assert enc.words.strings.nbytes < 500_000
 
 
+def test_encoder_calls_the_library_for_many_words_at_once():
+    """Neither the library nor Python handles the words and parts one by one."""
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    n = 20_000
+    rnd = random.Random(3)
+    parts = ["".join(rnd.choice("abcdeé") for _ in range(6)) + rnd.choice(["", ".", "'s", "7x", "--Y", "!'t"])
+             for _ in range(n)]
+    text = " ".join(parts)
+    enc = packing.Encoder(packing.TOKENIZER)
+    enc.tokenizer = Counted(enc.tokenizer)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        ids, at = enc.encode(pa.array([text, None, text, "日本 " + text]).fill_null(""))
+    finally:
+        sys.setprofile(None)
+    assert enc.tokenizer.texts < n / 20 and calls < n / 2, (enc.tokenizer.texts, calls)
+    want = Tokenizer.from_file(packing.TOKENIZER).encode_batch([text, "", text, "日本 " + text], add_special_tokens=False)
+    assert [list(ids[a:b]) for a, b in zip(at[:-1], at[1:])] == [e.ids for e in want]
+
+
 def test_sequences_hold_the_ids(sample):
     ids = packing.write_table(packing.pieces(sample, with_ids=True), "test-ids")
     packed = packing.pack(packing.write_table(ids.drop("ids"), "test-packed"))
