@@ -173,7 +173,7 @@ ENTRY_COLUMNS = ("Season", "Round", "DriverNumber", "DriverId", "Driver", "TeamN
 def race_rows(entries: DataFrame, races: DataFrame) -> DataFrame:
     """``ENTRY_COLUMNS`` of narrow entries (with GridPosition), then whatever else they have."""
     cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 100)))
-    out = entries.join(races, ["Season", "Round"]).withColumns({
+    out = races.join(entries, ["Season", "Round"]).withColumns({
         "Driver": F.concat(cap, F.lit("Racer"), F.upper(F.substring("n_name", 1, 3))),
         "TeamName": F.col("n_name"),
         "Status": (F.when(F.col("status_code") == 1, "Finished")
